@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job: it has no streams, watermarks, event-time
+windows or state.  Nothing is built here; the batch operators are plain
+DataFrame functions and the stateless ones (fact projections, revenue rule,
+calendar attributes) apply unchanged to a streaming DataFrame.
+"""
