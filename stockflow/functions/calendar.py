@@ -21,8 +21,10 @@ def _c(col: Column | str) -> Column:
 
 
 def date_key(d: Column | str) -> Column:
-    """Integer key yyyymmdd of a date (or date-like string / timestamp)."""
-    return F.date_format(F.to_date(_c(d)), "yyyyMMdd").cast("int")
+    """Integer key yyyymmdd of a date (or date-like string / timestamp),
+    computed with integer arithmetic rather than formatting text."""
+    d = F.to_date(_c(d))
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def day_of_week(d: Column | str) -> Column:

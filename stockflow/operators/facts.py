@@ -62,8 +62,11 @@ def fact_inventory(raw_inventory: DataFrame, demand: DataFrame, supply_cap: floa
     dem = F.coalesce(F.col("avg_daily_demand"), F.lit(float(default_demand)))
     stock = F.col("stock_level").cast("double")
     ratio = F.try_divide(stock, F.nullif(dem, F.lit(0.0)))
-    dos = (F.when(dem == 0, F.when(stock > 0, F.lit(float(supply_cap))))
-            .otherwise(F.least(round_half_even(ratio, 1), F.lit(float(supply_cap)))))
+    cap = F.lit(float(supply_cap))
+    # min(round(x), cap) == round(min(x, cap)) for an integral cap; capping
+    # first keeps the rounding on small numbers.
+    dos = (F.when(dem == 0, F.when(stock > 0, cap))
+            .otherwise(round_half_even(F.least(ratio, cap), 1)))
     return inv.select(
         "inventory_id",
         date_key("date").alias("date_id"),

@@ -31,12 +31,12 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.functions.calendar import date_key, days_between, iso_date
+from stockflow.functions.calendar import date_key, days_between
 
 LEDGER_COLUMNS = ["inventory_id", "date", "product_id", "warehouse_id", "stock_level", "restock_qty"]
 
 # Target rows per task after the days are exploded.
-ROWS_PER_PARTITION = 4_000_000
+ROWS_PER_PARTITION = 1_000_000
 
 
 def daily_units(orders: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -51,13 +51,16 @@ def daily_units(orders: DataFrame, start: str | None = None, end: str | None = N
              .agg(F.sum("quantity").cast("bigint").alias("sold")))
 
 
-def ledger_partitions(n_pairs: int, n_days: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    return max(1, math.ceil(n_pairs * n_days / rows_per_partition))
+def ledger_partitions(n_pairs: int, n_days: int, rows_per_partition: int = ROWS_PER_PARTITION,
+                      floor: int = 1) -> int:
+    """Partitions sized for the exploded rows, never fewer than ``floor``."""
+    return max(floor, math.ceil(n_pairs * n_days / rows_per_partition))
 
 
 def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
                  restock_every: int = 14, partitions: int | None = None) -> DataFrame:
-    """Daily inventory snapshots in the raw inventory layout.
+    """Daily inventory snapshots in the raw inventory layout (``date`` is a
+    typed date; :func:`stockflow.functions.calendar.iso_date` gives the text).
 
     ``assortment``: product_id, warehouse_id, initial_stock, restock_qty.
     ``orders``: product_id, warehouse_id, order_date, quantity.
@@ -65,7 +68,8 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
     if partitions is None:
         assortment = assortment.checkpoint(eager=True)
         n_days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
-        partitions = ledger_partitions(assortment.count(), n_days)
+        floor = int(assortment.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = ledger_partitions(assortment.count(), n_days, floor=floor)
 
     sold = (daily_units(orders, start, end)
             .groupBy("product_id", "warehouse_id")
@@ -90,7 +94,7 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
         F.concat(F.lit("INV-"), F.col("product_id").cast("string"), F.lit("-"),
                  F.col("warehouse_id").cast("string"), F.lit("-"),
                  date_key("d").cast("string")).alias("inventory_id"),
-        iso_date("d").alias("date"),
+        F.col("d").alias("date"),
         "product_id", "warehouse_id",
         stock.cast("bigint").alias("stock_level"),
         "restock_qty",

@@ -44,11 +44,12 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
                num_trees: int = 100, max_depth: int = 12, min_leaf: int = 5, seed: int = 42,
-               max_bins: int = 64) -> RandomForestRegressionModel:
+               max_bins: int = 64, max_memory_mb: int = 4096) -> RandomForestRegressionModel:
     data = assemble(train, features).select("features", F.col(target).cast("double").alias("label"))
     rf = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                seed=seed, featureSubsetStrategy="all", maxBins=max_bins,
-                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=1024,
+                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=max_memory_mb,
+                               cacheNodeIds=True, checkpointInterval=10,
                                labelCol="label", featuresCol="features", predictionCol=PREDICTION)
     return rf.fit(data)
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockflow.functions.calendar import iso_date
 from stockflow.functions.numeric import money_out, round_half_up
 from stockflow.operators import facts
 from stockflow.operators.joins import broadcast_calendar
@@ -78,7 +79,8 @@ def q_avg_daily_demand(spark, sf_dir):
 
 
 def q_stock_ledger(spark, sf_dir):
-    return _ws(spark, sf_dir).plan("raw_inventory")
+    inv = _ws(spark, sf_dir).plan("raw_inventory")
+    return inv.withColumn("date", iso_date("date"))
 
 
 def q_fact_inventory(spark, sf_dir):

@@ -37,17 +37,20 @@ class DemandForecast:
 
     # -- inputs (brand grain) --------------------------------------------------
     def fact_orders(self) -> DataFrame:
-        return facts.fact_orders(testdata.brand_orders(self.spark, self.sf_dir))
+        return self._memo("fact_orders",
+                          lambda: facts.fact_orders(testdata.brand_orders(self.spark, self.sf_dir)))
 
     def dim_date(self) -> DataFrame:
-        return dims.date_dimension(self.spark, testdata.ORDERS_START, testdata.ORDERS_END)
+        return self._memo("dim_date",
+                          lambda: dims.date_dimension(self.spark, testdata.ORDERS_START, testdata.ORDERS_END))
 
     def dim_products(self) -> DataFrame:
         return testdata.brand_products(self.spark, self.sf_dir)
 
     # -- history and features --------------------------------------------------
     def daily(self) -> DataFrame:
-        return feat.daily_demand(self.fact_orders(), self.dim_date(), self.dim_products())
+        return self._memo("daily", lambda: feat.daily_demand(self.fact_orders(), self.dim_date(),
+                                                             self.dim_products()))
 
     def encoders(self) -> tuple[DataFrame, DataFrame]:
         def build():
@@ -56,7 +59,7 @@ class DemandForecast:
         return self._memo("encoders", build)
 
     def features_plan(self) -> DataFrame:
-        return feat.demand_features(self.daily(), encoders=self.encoders())
+        return self._memo("features_plan", lambda: feat.demand_features(self.daily(), encoders=self.encoders()))
 
     def features(self) -> DataFrame:
         def build():
@@ -94,12 +97,16 @@ class DemandForecast:
 
     # -- forecast --------------------------------------------------------------
     def future_features(self) -> DataFrame:
-        p, c = self.encoders()
-        return mdl.forecast_features(self.features(), self.dim_products(), p, c, self.start, self.horizon)
+        def build():
+            p, c = self.encoders()
+            return mdl.forecast_features(self.features(), self.dim_products(), p, c, self.start, self.horizon)
+        return self._memo("future_features", build)
 
     def forecast(self) -> DataFrame:
-        scored = mdl.predict(self.model(), self.future_features())
-        return mdl.forecast_rows(scored, reorder_factor=self.reorder_factor)
+        def build():
+            scored = mdl.predict(self.model(), self.future_features())
+            return mdl.forecast_rows(scored, reorder_factor=self.reorder_factor)
+        return self._memo("forecast", build)
 
     def monthly(self, rows: DataFrame | None = None) -> DataFrame:
         rows = rows if rows is not None else self.forecast()

@@ -36,6 +36,7 @@ class StarSchema:
         self.calendar = calendar
         self.inventory_window = inventory_window
         self._tables: dict[str, DataFrame] = {}
+        self._plans: dict[str, DataFrame] = {}
         key = hashlib.sha1(f"{sf_dir}|{horizon_days}|{calendar}|{inventory_window}".encode()).hexdigest()[:12]
         self.root = shared_dir(spark, "warehouse", key)
 
@@ -56,6 +57,14 @@ class StarSchema:
 
     # -- build plans -----------------------------------------------------------
     def plan(self, name: str) -> DataFrame:
+        with _lock:
+            if name in self._plans:
+                return self._plans[name]
+        df = self._build_plan(name)
+        with _lock:
+            return self._plans.setdefault(name, df)
+
+    def _build_plan(self, name: str) -> DataFrame:
         if name == "dim_date":
             return dims.date_dimension(self.spark, *self.calendar)
         if name == "dim_suppliers":

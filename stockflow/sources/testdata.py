@@ -34,7 +34,9 @@ FORECAST_CUTOFF = "2001-08-01"
 FORECAST_START = "2001-11-05"  # the day after the last order
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan of one test table (the DataFrame is reused; plans are immutable)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -44,6 +46,7 @@ def _supplier_count(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "supplier").count()
 
 
+@lru_cache(maxsize=64)
 def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -55,6 +58,7 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.lit(5) + s.s_suppkey % 24).cast("int").alias("avg_lead_time_days")))
 
 
+@lru_cache(maxsize=64)
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     n_sup = _supplier_count(spark, sf_dir)
@@ -64,12 +68,13 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         p.p_name.alias("product_name"),
         p.p_type.alias("category"),
         (p.p_partkey % F.lit(n_sup)).alias("supplier_id"),
-        (price * (F.lit(40) + p.p_size).cast("decimal(4,0)") * F.lit(0.01)).cast("decimal(18,2)").alias("unit_cost"),
+        (price * (F.lit(40) + p.p_size).cast("decimal(4,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(18,2)").alias("unit_cost"),
         price.alias("unit_price"),
         p.p_size.alias("base_demand"),
     )
 
 
+@lru_cache(maxsize=64)
 def raw_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     return r.select(
@@ -81,6 +86,7 @@ def raw_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -113,6 +119,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def stocked_assortment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(product, warehouse) pairs that appear in the order history, with the
     opening stock (20 + size) and the fortnightly restock (1 + size % 4)."""
@@ -124,6 +131,7 @@ def stocked_assortment(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.lit(1) + F.col("p_size") % 4).cast("bigint").alias("restock_qty")))
 
 
+@lru_cache(maxsize=64)
 def brand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders re-keyed to the brand grain used by the forecast."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"), "p_brand")
@@ -133,6 +141,7 @@ def brand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
              .drop("part_id", "p_brand"))
 
 
+@lru_cache(maxsize=64)
 def brand_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product row per brand; base demand is the brand's mean part size."""
     p = table(spark, sf_dir, "part")
