@@ -6,9 +6,10 @@ Three rounding modes appear in the reference and are kept apart:
 * pandas ``Series.round`` — half to even        → :func:`round_half_even`
 * Python scalar ``round`` — half to even        → :func:`round_half_even`
 
-Doubles are first fixed to ten decimals (``DECIMAL(38,10)``) and then rounded
-as decimals, so the result depends on the value and not on how an engine
-scales binary fractions.  Money stays ``DECIMAL`` until display, where it is
+SQL rounding fixes doubles to ten decimals (``DECIMAL(38,10)``) and rounds
+the decimal, as SQL engines round the decimal text of a value.  numpy rounds
+the scaled binary value with ``rint``; :func:`round_half_even` does the same,
+so it needs no decimal arithmetic per row.  Money stays ``DECIMAL`` until display, where it is
 turned into ``DOUBLE``.
 """
 
@@ -32,8 +33,11 @@ def round_half_up(x: Column | str, scale: int) -> Column:
 
 
 def round_half_even(x: Column | str, scale: int) -> Column:
-    """pandas / numpy ``round(x, scale)`` (banker's rounding), as double."""
-    return F.bround(_c(x).cast(_FIXED), scale).cast("double")
+    """pandas / numpy ``round(x, scale)``: ``rint(x * 10**scale) / 10**scale``
+    on doubles (ties to even on the scaled binary value), exactly as numpy
+    computes it; no per-row decimal arithmetic."""
+    f = float(10 ** scale)
+    return F.rint(_c(x).cast("double") * f) / f
 
 
 def money_sum(x: Column | str) -> Column:

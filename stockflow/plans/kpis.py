@@ -48,17 +48,23 @@ def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
                .agg(money_out(F.sum("rev")).alias("revenue"),
                     F.sum("n").cast("bigint").alias("total_orders"),
                     F.sum("units").cast("bigint").alias("units_sold")))
-    # One row per calendar month: bounded by the calendar, so a single ordered
-    # window over it is cheap.
+    return (add_mom_change(monthly)
+            .select("year", "month", "month_name", "revenue", "total_orders", "units_sold",
+                    "prev_month_revenue", "mom_pct_change")
+            .orderBy("year", "month"))
+
+
+def add_mom_change(monthly: DataFrame) -> DataFrame:
+    """Previous month's (already rounded) revenue and the % change, 1 dp.
+
+    One row per calendar month: bounded by the calendar, so a single ordered
+    window over it is cheap."""
     w = Window.orderBy("year", "month")
     prev = F.lag("revenue", 1).over(w)
     return (monthly.withColumn("prev_month_revenue", prev)
             .withColumn("mom_pct_change",
                         round_half_up(F.try_divide(F.col("revenue") - F.col("prev_month_revenue"),
-                                                   F.col("prev_month_revenue")) * 100, 1))
-            .select("year", "month", "month_name", "revenue", "total_orders", "units_sold",
-                    "prev_month_revenue", "mom_pct_change")
-            .orderBy("year", "month"))
+                                                   F.col("prev_month_revenue")) * 100, 1)))
 
 
 def delivery_rate(fact_orders: DataFrame, dim_warehouses: DataFrame) -> DataFrame:
@@ -93,7 +99,7 @@ def supplier_scorecard(fact_orders: DataFrame, dim_products: DataFrame,
                                "avg_lead_time_days")
     scored = (by_supplier.join(sup, "supplier_id")
               .withColumn("delay_rate", F.col("delayed_orders").cast("double") / F.col("n_rows").cast("double")))
-    ranked = global_rank(scored, [F.col("delay_rate").desc()], "delay_rank")
+    ranked = global_rank(scored, [("delay_rate", True)], "delay_rank")
     return (ranked.select("supplier_id", "supplier_name", "country", "contracted_on_time_rate",
                           "avg_lead_time_days", "total_orders", "delayed_orders",
                           round_half_up(F.col("delay_rate") * 100, 1).alias("actual_delay_rate_pct"),
@@ -110,9 +116,7 @@ def inventory_turnover(fact_orders: DataFrame, fact_inventory: DataFrame, dim_pr
     stock = (fact_inventory.groupBy("product_id")
              .agg(round_half_up(F.avg("stock_level"), 1).alias("avg_stock_level")))
     units = F.coalesce(F.col("total_units_sold"), F.lit(0))
-    ratio = safe_ratio(units, F.col("avg_stock_level"))
-    status = (F.when(ratio >= healthy, "Healthy").when(ratio >= monitor, "Monitor")
-              .otherwise("Overstocked"))
+    turnover, status = turnover_columns(units, F.col("avg_stock_level"), healthy, monitor)
     return (dim_products.select("product_id", "product_name", "category", "supplier_id")
             .join(sales, "product_id", "left")
             .join(stock, "product_id", "left")
@@ -120,11 +124,21 @@ def inventory_turnover(fact_orders: DataFrame, fact_inventory: DataFrame, dim_pr
             .select("product_name", "category", "supplier_name",
                     units.cast("bigint").alias("units_sold"),
                     F.coalesce(F.col("avg_stock_level"), F.lit(0.0)).alias("avg_stock"),
-                    round_half_up(ratio, 2).alias("inventory_turnover"),
+                    turnover.alias("inventory_turnover"),
                     status.alias("stock_status"))
             .orderBy(F.col("inventory_turnover").desc_nulls_last()))
 
 
+def turnover_columns(units, avg_stock, healthy: float = 4.0, monitor: float = 2.0):
+    """(turnover rounded to 2 dp, status bucket) from units sold and the
+    average stock already rounded to 1 dp; the bucket uses the unrounded
+    ratio and a NULL ratio (no or zero stock) is 'Overstocked'."""
+    ratio = safe_ratio(units, avg_stock)
+    status = (F.when(ratio >= healthy, "Healthy").when(ratio >= monitor, "Monitor")
+              .otherwise("Overstocked"))
+    return round_half_up(ratio, 2), status
+
+
 def stockouts(fact_inventory: DataFrame, dim_products: DataFrame, dim_warehouses: DataFrame,
               horizon_days: int = 730, top: int = 20) -> DataFrame:
     """KPI 5: the ``top`` product × warehouse pairs with most stock-out days."""
