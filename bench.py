@@ -24,7 +24,7 @@ from stockflow.plans.forecast import demand_forecast  # noqa: E402
 from stockflow.plans.warehouse import star_schema  # noqa: E402
 from stockflow.session import get_session  # noqa: E402
 
-BUILD = ["dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders_source",
+BUILD = ["raw_orders", "dim_date", "dim_suppliers", "dim_products", "dim_warehouses",
          "fact_orders", "raw_inventory", "fact_inventory"]
 QUERIES = ["kpi1_monthly_revenue", "kpi2_delivery_rate", "kpi3_supplier_scorecard",
            "kpi4_inventory_turnover", "kpi5_stockouts", "kpi6_category_quarterly", "kpi7_top_products",

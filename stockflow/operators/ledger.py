@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import date_key, days_between
@@ -39,6 +39,14 @@ LEDGER_COLUMNS = ["inventory_id", "date", "product_id", "warehouse_id", "stock_l
 ROWS_PER_PARTITION = 1_000_000
 
 
+def inventory_key(product: str, warehouse: str, date_id: Column) -> Column:
+    """Snapshot row id ``INV-<product>-<warehouse>-<yyyymmdd>``: a pure
+    function of the natural key, so stores may keep the natural key only and
+    derive the id when it is read."""
+    return F.concat(F.lit("INV-"), F.col(product).cast("string"), F.lit("-"),
+                    F.col(warehouse).cast("string"), F.lit("-"), date_id.cast("string"))
+
+
 def daily_units(orders: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Units ordered per product × warehouse × day (the keyed lookup of sales)."""
     d = F.to_date("order_date")
@@ -91,9 +99,7 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
     balance = grid.withColumn("x", x)
     stock = F.col("x") - F.least(F.lit(0), F.min("x").over(w))
     return balance.select(
-        F.concat(F.lit("INV-"), F.col("product_id").cast("string"), F.lit("-"),
-                 F.col("warehouse_id").cast("string"), F.lit("-"),
-                 date_key("d").cast("string")).alias("inventory_id"),
+        inventory_key("product_id", "warehouse_id", date_key("d")).alias("inventory_id"),
         F.col("d").alias("date"),
         "product_id", "warehouse_id",
         stock.cast("bigint").alias("stock_level"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stockflow.operators import dims, facts
 from stockflow.operators import features as feat
 from stockflow.operators import model as mdl
+from stockflow.plans.warehouse import star_schema
 from stockflow.session import shared_dir
 from stockflow.sources import testdata
 
@@ -37,8 +38,10 @@ class DemandForecast:
 
     # -- inputs (brand grain) --------------------------------------------------
     def fact_orders(self) -> DataFrame:
-        return self._memo("fact_orders",
-                          lambda: facts.fact_orders(testdata.brand_orders(self.spark, self.sf_dir)))
+        def build():
+            landed = star_schema(self.spark, self.sf_dir).raw("orders")
+            return facts.fact_orders(testdata.brand_orders(self.spark, self.sf_dir, landed))
+        return self._memo("fact_orders", build)
 
     def dim_date(self) -> DataFrame:
         return self._memo("dim_date",

@@ -14,12 +14,14 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stockflow.functions.calendar import date_key
 from stockflow.operators import dims, facts, ledger
 from stockflow.session import shared_dir
 from stockflow.sources import testdata
 
-TABLES = ["dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders",
+TABLES = ["raw_orders", "dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders",
           "raw_inventory", "fact_inventory"]
 
 _lock = threading.Lock()
@@ -42,6 +44,8 @@ class StarSchema:
 
     # -- raw (stand-in) inputs -------------------------------------------------
     def raw(self, name: str) -> DataFrame:
+        """Raw inputs.  Orders are landed once as parquet (the reference lands
+        CSV files) so every consumer reads stored rows, not the stand-in join."""
         s, d = self.spark, self.sf_dir
         if name == "suppliers":
             return testdata.raw_suppliers(s, d)
@@ -50,9 +54,9 @@ class StarSchema:
         if name == "warehouses":
             return testdata.raw_warehouses(s, d)
         if name == "orders":
-            return testdata.raw_orders(s, d)
+            return self.table("raw_orders")
         if name == "assortment":
-            return testdata.stocked_assortment(s, d)
+            return testdata.stocked_assortment(s, d, self.raw("orders"))
         raise KeyError(name)
 
     # -- build plans -----------------------------------------------------------
@@ -77,11 +81,11 @@ class StarSchema:
             return facts.fact_orders(self.raw("orders"))
         if name == "raw_inventory":
             start, end = self.inventory_window
-            return ledger.stock_ledger(self.raw("assortment"), self.table("fact_orders_source"), start, end)
-        if name == "fact_orders_source":
-            return self.raw("orders")
+            return ledger.stock_ledger(self.raw("assortment"), self.raw("orders"), start, end)
+        if name == "raw_orders":
+            return testdata.raw_orders(self.spark, self.sf_dir)
         if name == "fact_inventory":
-            demand = facts.avg_daily_demand(self.table("fact_orders_source"), self.horizon_days)
+            demand = facts.avg_daily_demand(self.raw("orders"), self.horizon_days)
             return facts.fact_inventory(self.table("raw_inventory"), demand)
         raise KeyError(name)
 
@@ -91,9 +95,19 @@ class StarSchema:
             if name in self._tables:
                 return self._tables[name]
         df = self.plan(name)
+        columns = df.columns
+        derived = "inventory_id" in columns
+        if derived:
+            # The snapshot id is a function of (product, warehouse, date):
+            # store the natural key only and derive the id on read.
+            df = df.drop("inventory_id")
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         stored = self.spark.read.parquet(path)
+        if derived:
+            key = date_key("date") if "date" in stored.columns else F.col("date_id")
+            stored = (stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", key))
+                            .select(*columns))
         with _lock:
             self._tables[name] = stored
         return stored

@@ -119,11 +119,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=64)
-def stocked_assortment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stocked_assortment(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """(product, warehouse) pairs that appear in the order history, with the
     opening stock (20 + size) and the fortnightly restock (1 + size % 4)."""
-    pairs = raw_orders(spark, sf_dir).select("product_id", "warehouse_id").distinct()
+    orders = orders if orders is not None else raw_orders(spark, sf_dir)
+    pairs = orders.select("product_id", "warehouse_id").distinct()
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), "p_size")
     return (pairs.join(p, "product_id")
                  .select("product_id", "warehouse_id",
@@ -131,11 +131,10 @@ def stocked_assortment(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.lit(1) + F.col("p_size") % 4).cast("bigint").alias("restock_qty")))
 
 
-@lru_cache(maxsize=64)
-def brand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Orders re-keyed to the brand grain used by the forecast."""
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"), "p_brand")
-    o = raw_orders(spark, sf_dir)
+    o = orders if orders is not None else raw_orders(spark, sf_dir)
     return (o.join(p, o.product_id == p.part_id)
              .withColumn("product_id", F.col("p_brand"))
              .drop("part_id", "p_brand"))
