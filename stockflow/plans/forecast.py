@@ -83,13 +83,17 @@ class DemandForecast:
         return self._memo("model", build)
 
     def test_predictions(self) -> DataFrame:
-        _, test = self.split()
-        return mdl.predict(self.model(), test).select("full_date", "product_id", "units_sold", "prediction")
+        """Held-out rows scored once (the transform ships the whole forest to
+        the executors, so the scored frame is shared by every report)."""
+        def build():
+            _, test = self.split()
+            return mdl.predict(self.model(), test).select("full_date", "product_id", "units_sold", "prediction")
+        return self._memo("test_predictions", build)
 
     def model_metrics(self) -> DataFrame:
         train, _ = self.split()
         n_train = self._memo("train_rows", train.count)
-        m = mdl.error_metrics(self.test_predictions())
+        m = self._memo("error_metrics", lambda: mdl.error_metrics(self.test_predictions()))
         return m.select(F.lit("RandomForestRegressor").alias("model"), "mae", "rmse", "mape",
                         F.lit(n_train).cast("bigint").alias("train_rows"), "test_rows",
                         F.lit(len(feat.FEATURES)).cast("int").alias("n_features"),
