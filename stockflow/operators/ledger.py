@@ -11,16 +11,20 @@ recursion): with ``x_t = initial + Σ_{i<=t}(restock_i - sold_i)``,
 ``stock_t = x_t - min(0, min_{i<=t} x_i)``.  Both terms are running window
 aggregates with the same frame, so one sort serves them.
 
-Physical shape:
+Stock only changes on *event* days (a restock or a sale), so the balance is
+computed on events and then carried forward to the days up to the next
+event.  Physical shape:
 
 * units per pair-day are aggregated (map-side partial aggregation, so a hot
-  pair is combined before the shuffle) and gathered into one map per pair —
-  at most one entry per day of the range, a bound fixed by the calendar;
-* the assortment and those maps are hash-partitioned on ``product_id`` into
-  ``partitions`` parts sized for the *exploded* row count;
-* days are generated inside each row (``posexplode(sequence(...))``): no cross
-  join, and the exploded rows never cross the network;
-* the window (partitioned by product, warehouse) reuses that partitioning.
+  pair is combined before the shuffle);
+* restock events are generated inside each assortment row
+  (``sequence(0, days-1, every)``), sale events come from the daily units;
+  both are hash-partitioned on ``product_id`` and merged per pair-day;
+* the running window sorts *events* (≈ days/every + sale days per pair), not
+  the calendar grid; ``lead`` gives the next event day;
+* every event row explodes into the days it covers (``sequence``): no cross
+  join, no sort and no shuffle of the daily rows, which are sized by
+  ``partitions`` (rows per task of the output).
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.functions.calendar import date_key, days_between
+from stockflow.functions.calendar import date_key
 
 LEDGER_COLUMNS = ["inventory_id", "date", "product_id", "warehouse_id", "stock_level", "restock_qty"]
 
@@ -71,37 +75,51 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
     typed date; :func:`stockflow.functions.calendar.iso_date` gives the text).
 
     ``assortment``: product_id, warehouse_id, initial_stock, restock_qty.
-    ``orders``: product_id, warehouse_id, order_date, quantity.
+    ``orders``: product_id, warehouse_id, order_date, quantity.  Sales of pairs
+    that are not in the assortment are ignored.
     """
+    n_days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
     if partitions is None:
         assortment = assortment.checkpoint(eager=True)
-        n_days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
         floor = int(assortment.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         partitions = ledger_partitions(assortment.count(), n_days, floor=floor)
-
-    sold = (daily_units(orders, start, end)
-            .groupBy("product_id", "warehouse_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("d", "sold"))).alias("sold_by_day")))
-    pairs = assortment.repartition(partitions, "product_id")
-    sold = sold.repartition(partitions, "product_id")
-    grid = (pairs.join(sold, ["product_id", "warehouse_id"], "left")
-                 .select("product_id", "warehouse_id", "initial_stock", "restock_qty", "sold_by_day",
-                         F.posexplode(days_between(start, end)).alias("day_index", "d")))
-    restock = F.when(F.col("day_index") % restock_every == 0, F.col("restock_qty")).otherwise(F.lit(0))
-    sold_today = F.coalesce(F.element_at(F.col("sold_by_day"), F.col("d")), F.lit(0))
-    grid = grid.select("product_id", "warehouse_id", "d", "initial_stock",
-                       restock.cast("bigint").alias("restock_qty"),
-                       sold_today.cast("bigint").alias("sold"))
-
-    w = (Window.partitionBy("product_id", "warehouse_id").orderBy("d")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = F.col("initial_stock") + F.sum(F.col("restock_qty") - F.col("sold")).over(w)
-    balance = grid.withColumn("x", x)
-    stock = F.col("x") - F.least(F.lit(0), F.min("x").over(w))
-    return balance.select(
-        inventory_key("product_id", "warehouse_id", date_key("d")).alias("inventory_id"),
-        F.col("d").alias("date"),
+    day0 = F.to_date(F.lit(start))
+    zero = F.lit(0).cast("bigint")
+
+    restocks = (assortment.repartition(partitions, "product_id")
+                .select("product_id", "warehouse_id",
+                        F.explode(F.sequence(F.lit(0), F.lit(n_days - 1), F.lit(restock_every))).alias("i"),
+                        F.col("restock_qty").cast("bigint").alias("restock"), zero.alias("sold"),
+                        F.col("initial_stock").cast("bigint").alias("initial_stock")))
+    sales = (daily_units(orders, start, end)
+             .select("product_id", "warehouse_id", F.datediff("d", day0).alias("i"),
+                     zero.alias("restock"), F.col("sold").cast("bigint").alias("sold"),
+                     F.lit(None).cast("bigint").alias("initial_stock"))
+             .repartition(partitions, "product_id"))
+    events = (restocks.unionByName(sales)
+              .groupBy("product_id", "warehouse_id", "i")
+              .agg(F.sum("restock").alias("restock"), F.sum("sold").alias("sold"),
+                   F.max("initial_stock").alias("initial_stock")))
+
+    pair = Window.partitionBy("product_id", "warehouse_id")
+    ordered = pair.orderBy("i")
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # initial stock is carried by the restock events; a pair without any is
+    # not stocked (its sales are dropped)
+    x = F.max("initial_stock").over(pair) + F.sum(F.col("restock") - F.col("sold")).over(running)
+    balance = (events.withColumn("x", x)
+               .withColumn("next_i", F.coalesce(F.lead("i", 1).over(ordered), F.lit(n_days)))
+               .where(F.col("x").isNotNull()))
+    stock = F.col("x") - F.least(F.lit(0), F.min("x").over(running))
+    settled = balance.select("product_id", "warehouse_id", "i", "next_i", "restock",
+                             stock.cast("bigint").alias("stock_level"))
+    daily = settled.select("product_id", "warehouse_id", "i", "restock", "stock_level",
+                           F.explode(F.sequence(F.col("i"), F.col("next_i") - 1)).alias("day"))
+    d = F.date_add(day0, F.col("day"))
+    return daily.select(
+        inventory_key("product_id", "warehouse_id", date_key(d)).alias("inventory_id"),
+        d.alias("date"),
         "product_id", "warehouse_id",
-        stock.cast("bigint").alias("stock_level"),
-        "restock_qty",
+        "stock_level",
+        F.when(F.col("day") == F.col("i"), F.col("restock")).otherwise(zero).alias("restock_qty"),
     )
