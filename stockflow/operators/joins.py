@@ -3,12 +3,13 @@
 ``bounded_broadcast`` counts the small side (cheap for a parquet dimension:
 the count comes from file footers; for a computed side it is checkpointed to
 the shared folder first, so the count and the join read the same stored rows)
-and wraps it in ``broadcast()`` only when the count is under ``max_rows``.
+and wraps it in ``broadcast()`` only when the count is under ``max_rows`` and
+the estimated size (count × schema row width) is under ``max_bytes``.
 Beyond the bound the plain DataFrame is returned and the planner falls back
 to a shuffle join (sort-merge / shuffled hash, AQE skew handling).
 
 ``calendar`` tables are bounded by construction (one row per day of a fixed
-range) and may be broadcast without counting: :func:`broadcast_calendar`.
+range); :func:`broadcast_calendar` checks them against that bound.
 """
 
 from __future__ import annotations
@@ -18,23 +19,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow dimension that comfortably fit a broadcast on every executor.
+# Bounds for a broadcast side: rows, and estimated bytes (rows × row width).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # A calendar of a century is ~36,500 rows.
 MAX_CALENDAR_ROWS = 40_000
 
+_WIDTH = {"string": 32, "binary": 32, "date": 4, "int": 4, "smallint": 2, "tinyint": 1, "boolean": 1,
+          "float": 4}
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough bytes per row from the schema (strings counted at 32 bytes)."""
+    return 8 + sum(_WIDTH.get(t, 16 if t.startswith(("decimal", "array", "map", "struct")) else 8)
+                   for _, t in df.dtypes)
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = False, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     if materialize:
         df = df.checkpoint(eager=True)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and n * row_width(df) <= max_bytes else df
 
 
 def broadcast_calendar(dim_date: DataFrame) -> DataFrame:
-    """Broadcast a calendar dimension (bounded by its date range)."""
-    return F.broadcast(dim_date)
+    """Broadcast a calendar dimension: one row per day, so a century is at most
+    ``MAX_CALENDAR_ROWS`` rows; the bound is still checked."""
+    return bounded_broadcast(dim_date, MAX_CALENDAR_ROWS)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",

@@ -34,6 +34,7 @@ class DemandForecast:
         self.forest_params = dict(num_trees=num_trees, max_depth=max_depth, min_leaf=min_leaf, seed=seed)
         self.reorder_factor = reorder_factor
         self._cache: dict[str, object] = {}
+        self._locks: dict[str, threading.RLock] = {}
         self.root = shared_dir(spark, "forecast", str(abs(hash((sf_dir, cutoff, start, horizon)))))
 
     # -- inputs (brand grain) --------------------------------------------------
@@ -134,10 +135,14 @@ class DemandForecast:
         with _lock:
             if key in self._cache:
                 return self._cache[key]
-        value = build()
-        with _lock:
-            self._cache.setdefault(key, value)
-            return self._cache[key]
+            key_lock = self._locks.setdefault(key, threading.RLock())
+        with key_lock:   # one build per key, even with concurrent callers
+            with _lock:
+                if key in self._cache:
+                    return self._cache[key]
+            value = build()
+            with _lock:
+                return self._cache.setdefault(key, value)
 
 
 def top_by(monthly: DataFrame, month: str, value: str, k: int = 5) -> DataFrame:

@@ -39,6 +39,7 @@ class StarSchema:
         self.inventory_window = inventory_window
         self._tables: dict[str, DataFrame] = {}
         self._plans: dict[str, DataFrame] = {}
+        self._build_locks: dict[str, threading.Lock] = {}
         key = hashlib.sha1(f"{sf_dir}|{horizon_days}|{calendar}|{inventory_window}".encode()).hexdigest()[:12]
         self.root = shared_dir(spark, "warehouse", key)
 
@@ -94,6 +95,14 @@ class StarSchema:
         with _lock:
             if name in self._tables:
                 return self._tables[name]
+            build_lock = self._build_locks.setdefault(name, threading.Lock())
+        with build_lock:   # one writer per table, even with concurrent callers
+            with _lock:
+                if name in self._tables:
+                    return self._tables[name]
+            return self._materialize(name)
+
+    def _materialize(self, name: str) -> DataFrame:
         df = self.plan(name)
         columns = df.columns
         derived = "inventory_id" in columns
