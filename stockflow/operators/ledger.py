@@ -101,12 +101,13 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
               .agg(F.sum("restock").alias("restock"), F.sum("sold").alias("sold"),
                    F.max("initial_stock").alias("initial_stock")))
 
-    pair = Window.partitionBy("product_id", "warehouse_id")
-    ordered = pair.orderBy("i")
+    ordered = Window.partitionBy("product_id", "warehouse_id").orderBy("i")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # initial stock is carried by the restock events; a pair without any is
-    # not stocked (its sales are dropped)
-    x = F.max("initial_stock").over(pair) + F.sum(F.col("restock") - F.col("sold")).over(running)
+    # not stocked (its sales are dropped).  All frames share one ordering, so
+    # one sort of the events serves every window.
+    x = F.max("initial_stock").over(whole) + F.sum(F.col("restock") - F.col("sold")).over(running)
     balance = (events.withColumn("x", x)
                .withColumn("next_i", F.coalesce(F.lead("i", 1).over(ordered), F.lit(n_days)))
                .where(F.col("x").isNotNull()))
