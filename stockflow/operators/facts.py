@@ -20,6 +20,9 @@ from stockflow.functions.calendar import date_key
 from stockflow.functions.numeric import MONEY, round_half_even
 from stockflow.operators.joins import lookup_join
 
+# Fact layouts, the demand horizon (days), the days-of-supply cap
+# and the default demand of a never-ordered product, as the reference defines them.
+HORIZON_DAYS, SUPPLY_CAP, DEFAULT_DEMAND = 730, 999.0, 1.0
 FACT_ORDER_COLUMNS = ["order_id", "date_id", "product_id", "warehouse_id", "quantity", "unit_price",
                       "total_amount", "revenue", "shipping_method", "status", "customer_city",
                       "customer_state"]
@@ -43,15 +46,15 @@ def fact_orders(raw_orders: DataFrame, cancelled: str = "Cancelled") -> DataFram
     )
 
 
-def avg_daily_demand(raw_orders: DataFrame, horizon_days: int = 730) -> DataFrame:
+def avg_daily_demand(raw_orders: DataFrame, horizon_days: int = HORIZON_DAYS) -> DataFrame:
     """Units per day per product over the horizon (partial + final aggregate)."""
     return (raw_orders.groupBy("product_id")
                       .agg((F.sum("quantity").cast("double") / F.lit(float(horizon_days)))
                            .alias("avg_daily_demand")))
 
 
-def fact_inventory(raw_inventory: DataFrame, demand: DataFrame, supply_cap: float = 999.0,
-                   default_demand: float = 1.0) -> DataFrame:
+def fact_inventory(raw_inventory: DataFrame, demand: DataFrame, supply_cap: float = SUPPLY_CAP,
+                   default_demand: float = DEFAULT_DEMAND) -> DataFrame:
     """Daily stock snapshots with days of supply and the stock-out flag.
 
     ``demand`` has one row per product; it is checkpointed and broadcast only

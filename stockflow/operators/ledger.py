@@ -39,6 +39,8 @@ from stockflow.functions.calendar import date_key
 
 LEDGER_COLUMNS = ["inventory_id", "date", "product_id", "warehouse_id", "stock_level", "restock_qty"]
 
+# Fixed value: restock cadence of the reference's inventory (every 14th day).
+RESTOCK_EVERY = 14
 # Target rows per task after the days are exploded.
 ROWS_PER_PARTITION = 1_000_000
 
@@ -70,7 +72,7 @@ def ledger_partitions(n_pairs: int, n_days: int, rows_per_partition: int = ROWS_
 
 
 def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
-                 restock_every: int = 14, partitions: int | None = None) -> DataFrame:
+                 restock_every: int = RESTOCK_EVERY, partitions: int | None = None) -> DataFrame:
     """Daily inventory snapshots in the raw inventory layout (``date`` is a
     typed date; :func:`stockflow.functions.calendar.iso_date` gives the text).
 

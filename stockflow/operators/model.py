@@ -34,6 +34,12 @@ from stockflow.operators.joins import bounded_broadcast
 
 PREDICTION = "prediction"
 
+# The reference model's settings (trees, depth, minimum leaf
+# size, seed), its forecast horizon in days, the history depth that freezes the
+# forecast inputs, and the reorder factor over base demand.
+NUM_TREES, MAX_DEPTH, MIN_LEAF, SEED = 100, 12, 5, 42
+HORIZON, HISTORY_DEPTH, REORDER_FACTOR = 90, 30, 1.2
+
 
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     cast = df.select(*df.columns, *[F.col(c).cast("double").alias(f"__f_{c}") for c in features])
@@ -43,7 +49,7 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 
 def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
-               num_trees: int = 100, max_depth: int = 12, min_leaf: int = 5, seed: int = 42,
+               num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF, seed: int = SEED,
                max_bins: int = 64, max_memory_mb: int = 4096) -> RandomForestRegressionModel:
     data = assemble(train, features).select("features", F.col(target).cast("double").alias("label"))
     rf = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
@@ -80,7 +86,7 @@ def feature_importance(spark: SparkSession, model: RandomForestRegressionModel,
             .orderBy(F.col("importance").desc()))
 
 
-def recent_history(features_df: DataFrame, depth: int = 30) -> DataFrame:
+def recent_history(features_df: DataFrame, depth: int = HISTORY_DEPTH) -> DataFrame:
     """Per product: how many of the last ``depth`` rows exist, and the values
     at positions 7 / 14 / 30 from the end and the means of the last 7 / 30."""
     w = Window.partitionBy("product_id").orderBy(F.col("full_date").desc())
@@ -96,8 +102,8 @@ def recent_history(features_df: DataFrame, depth: int = 30) -> DataFrame:
 
 
 def forecast_features(features_df: DataFrame, products: DataFrame, product_enc: DataFrame,
-                      category_enc: DataFrame, start: str, horizon: int = 90,
-                      depth: int = 30) -> DataFrame:
+                      category_enc: DataFrame, start: str, horizon: int = HORIZON,
+                      depth: int = HISTORY_DEPTH) -> DataFrame:
     """Feature rows for ``horizon`` future days of every product."""
     hist = recent_history(features_df, depth)
     base = F.col("base_demand").cast("double")
@@ -126,7 +132,8 @@ def forecast_features(features_df: DataFrame, products: DataFrame, product_enc:
                        "lag_7", "lag_14", "lag_30", "rolling_7", "rolling_30")
 
 
-def forecast_rows(scored: DataFrame, prediction: str = PREDICTION, reorder_factor: float = 1.2) -> DataFrame:
+def forecast_rows(scored: DataFrame, prediction: str = PREDICTION,
+                  reorder_factor: float = REORDER_FACTOR) -> DataFrame:
     p = F.greatest(F.col(prediction).cast("double"), F.lit(0.0))
     return scored.select(
         "forecast_date", "product_id", "product_name", "category",

@@ -30,7 +30,10 @@ from stockflow.functions.numeric import (MONEY, count_where, money_out, round_ha
 from stockflow.operators.joins import bounded_broadcast, broadcast_calendar
 from stockflow.operators.ranking import global_rank
 
+# Order status labels and the turnover thresholds of the
+# reference's KPI definitions.
 CANCELLED, DELIVERED, DELAYED = "Cancelled", "Delivered", "Delayed"
+HEALTHY_TURNOVER, MONITOR_TURNOVER = 4.0, 2.0
 
 
 def _status(s: str):
@@ -109,7 +112,8 @@ def supplier_scorecard(fact_orders: DataFrame, dim_products: DataFrame,
 
 
 def inventory_turnover(fact_orders: DataFrame, fact_inventory: DataFrame, dim_products: DataFrame,
-                       dim_suppliers: DataFrame, healthy: float = 4.0, monitor: float = 2.0) -> DataFrame:
+                       dim_suppliers: DataFrame, healthy: float = HEALTHY_TURNOVER,
+                       monitor: float = MONITOR_TURNOVER) -> DataFrame:
     """KPI 4: units sold ÷ average stock per product, bucketed by thresholds."""
     sales = (fact_orders.where(F.col("status") != CANCELLED)
              .groupBy("product_id").agg(F.sum("quantity").alias("total_units_sold")))
@@ -129,7 +133,7 @@ def inventory_turnover(fact_orders: DataFrame, fact_inventory: DataFrame, dim_pr
             .orderBy(F.col("inventory_turnover").desc_nulls_last()))
 
 
-def turnover_columns(units, avg_stock, healthy: float = 4.0, monitor: float = 2.0):
+def turnover_columns(units, avg_stock, healthy: float = HEALTHY_TURNOVER, monitor: float = MONITOR_TURNOVER):
     """(turnover rounded to 2 dp, status bucket) from units sold and the
     average stock already rounded to 1 dp; the bucket uses the unrounded
     ratio and a NULL ratio (no or zero stock) is 'Overstocked'."""
