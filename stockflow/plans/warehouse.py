@@ -11,9 +11,12 @@ partitioned; ``fact_orders`` keeps row-group statistics on ``date_id``.
 from __future__ import annotations
 
 import hashlib
+import re
 import threading
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import date_key
@@ -24,6 +27,9 @@ from stockflow.sources import testdata
 TABLES = ["raw_orders", "dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders",
           "raw_inventory", "fact_inventory"]
 
+# Daily snapshot tables, stored bucketed by product_id.
+BUCKETED = {"raw_inventory", "fact_inventory"}
+
 _lock = threading.Lock()
 _registry: dict[tuple, StarSchema] = {}
 
@@ -40,7 +46,9 @@ class StarSchema:
         self._tables: dict[str, DataFrame] = {}
         self._plans: dict[str, DataFrame] = {}
         self._build_locks: dict[str, threading.Lock] = {}
+        self._values: dict[str, int] = {}
         key = hashlib.sha1(f"{sf_dir}|{horizon_days}|{calendar}|{inventory_window}".encode()).hexdigest()[:12]
+        self.key = key
         self.root = shared_dir(spark, "warehouse", key)
 
     # -- raw (stand-in) inputs -------------------------------------------------
@@ -82,7 +90,8 @@ class StarSchema:
             return facts.fact_orders(self.raw("orders"))
         if name == "raw_inventory":
             start, end = self.inventory_window
-            return ledger.stock_ledger(self.raw("assortment"), self.raw("orders"), start, end)
+            return ledger.stock_ledger(self.assortment(), self.raw("orders"), start, end,
+                                       partitions=self.snapshot_buckets())
         if name == "raw_orders":
             return testdata.raw_orders(self.spark, self.sf_dir)
         if name == "fact_inventory":
@@ -90,6 +99,43 @@ class StarSchema:
             return facts.fact_inventory(self.table("raw_inventory"), demand)
         raise KeyError(name)
 
+    # -- snapshot layout -------------------------------------------------------
+    def assortment(self) -> DataFrame:
+        """The stocked pairs, checkpointed once (they size the ledger)."""
+        with _lock:
+            if "assortment" in self._plans:
+                return self._plans["assortment"]
+        a = self.raw("assortment").checkpoint(eager=True)
+        with _lock:
+            return self._plans.setdefault("assortment", a)
+
+    def snapshot_buckets(self) -> int:
+        """Hash partitions of the ledger = buckets of both snapshot tables, so
+        each ledger task writes exactly one bucket file."""
+        with _lock:
+            if "buckets" in self._values:
+                return self._values["buckets"]
+        start, end = self.inventory_window
+        n_days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
+        floor = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        n = ledger.ledger_partitions(self.assortment().count(), n_days, floor=floor)
+        with _lock:
+            return self._values.setdefault("buckets", n)
+
+    def _write_bucketed(self, df: DataFrame, name: str, path: str) -> DataFrame:
+        """Store ``df`` bucketed by product (external table in the shared
+        folder): joins and aggregations on product then read it without an
+        exchange.  Falls back to plain parquet if the catalog refuses."""
+        app = re.sub(r"[^0-9A-Za-z]", "_", self.spark.sparkContext.applicationId or "app")
+        table = f"stockflow_{app}_{self.key}_{name}"
+        try:
+            (df.write.mode("overwrite").bucketBy(self.snapshot_buckets(), "product_id")
+               .option("path", path).saveAsTable(table))
+            return self.spark.table(table)
+        except AnalysisException:
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+
     # -- materialised tables ---------------------------------------------------
     def table(self, name: str) -> DataFrame:
         with _lock:
@@ -111,8 +157,11 @@ class StarSchema:
             # store the natural key only and derive the id on read.
             df = df.drop("inventory_id")
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        stored = self.spark.read.parquet(path)
+        if name in BUCKETED:
+            stored = self._write_bucketed(df, name, path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            stored = self.spark.read.parquet(path)
         if derived:
             key = date_key("date") if "date" in stored.columns else F.col("date_id")
             stored = (stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", key))
