@@ -62,7 +62,8 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str | Column, bool]], rank_
     keyed = df.select("*", *[e.alias(k) for e, k in zip(exprs, keys)])
     key_order = [F.col(k).desc() if desc else F.col(k).asc() for k, (_, desc) in zip(keys, order)]
     values = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    ranks = bounded_broadcast(_value_ranks(values, key_order, n))
+    # checkpointed once: the size check and the join read the same stored ranks
+    ranks = bounded_broadcast(_value_ranks(values, key_order, n), materialize=True)
     cond = reduce(lambda a, b: a & b, [keyed[k].eqNullSafe(ranks[k]) for k in keys])
     out = keyed.join(ranks, cond, "inner")
     return out.select(*[keyed[c] for c in df.columns], F.col("__rank").alias(rank_col))
