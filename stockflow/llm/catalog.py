@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stockflow.llm import arrow_store, packing
+from stockflow.llm import arrow_store, langid, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,17 +15,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 128 to 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_arrow_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to Arrow files and read back from them."""
     return arrow_store.encode_to_files(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_packing, op9_arrow_store)}
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op7_toxicity, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}
