@@ -1,13 +1,14 @@
 """Toxicity by compression distance (operator 7).
 
-Two zstandard dictionaries are trained on labelled text.  The ordinary one is
-trained by the library on ordinary windows.  The toxic one holds, before the
-same ordinary content, the stretches of toxic text whose character n-grams are
-over-represented against ordinary text.  Each window of a text (some words,
-lower-cased, punctuation as spaces) is compressed with either; what the toxic
-dictionary saves is the distance.  Totals and extremes of the savings at a few
-window sizes are calibrated to a probability by a logistic fit on labelled
-documents that no dictionary has seen.
+Two zstandard dictionaries are trained on labelled text, one on toxic and one on
+ordinary documents: each holds the stretches of its class whose character
+n-grams are over-represented against the other, the commonest last, and both
+are made equally long.  (Dictionaries that the library's own trainer picks
+spend their bytes on what both classes share; the differences then drown in
+noise.)  Each window of a text (some words, lower-cased, punctuation as spaces)
+is compressed with either; what the toxic dictionary saves is the distance.
+Totals and extremes of the savings are calibrated to a probability by a
+logistic fit on labelled documents that no dictionary has seen.
 
 Labels come from a bounded sample: at most SAMPLE_DOCS documents of each class
 (least hash of the id), none above SAMPLE_CHARS characters, half for the
@@ -36,9 +37,13 @@ SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 GRAM = 5
 # A toxic n-gram: in so many sampled toxic documents, and so much likelier there (natural log of the ratio).
-LEAST_DOCS, LEAST_ODDS = 5, 2.5
-ORDINARY_BYTES = 1500
-WINDOWS = (16, 40)
+LEAST_DOCS, LEAST_ODDS = 5, 1.9
+DICTIONARY_BYTES = 16_384
+# Words in a window.
+WINDOW = 24
+# Opens every window and closes both dictionaries.  A block that saves too little is stored as it is; this match lifts
+# every window over that bar, so that any further one shows.
+OPENING = b"\1\2\3\4\5\6\7" * 4
 _BREAKS = re.compile(r"[\W_]+")
 
 
@@ -46,8 +51,8 @@ def words(text: str | None) -> list[str]:
     return _BREAKS.sub(" ", (text or "").lower()).split()
 
 
-def windows(tokens: list[str], size: int) -> list[bytes]:
-    return [f" {' '.join(tokens[k:k + size])} ".encode() for k in range(0, len(tokens), size)] or [b" "]
+def windows(tokens: list[str], size: int = WINDOW) -> list[bytes]:
+    return [OPENING + f" {' '.join(tokens[k:k + size])} ".encode() for k in range(0, len(tokens), size)] or [OPENING]
 
 
 def _grams(text: bytes) -> set[bytes]:
@@ -55,36 +60,37 @@ def _grams(text: bytes) -> set[bytes]:
     return {g for k in range(len(text) - GRAM + 1) if b" " not in (g := text[k:k + GRAM])[1:-1]}
 
 
-def toxic_pieces(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
-    """Stretches of toxic text made of over-represented n-grams, rarest first
-    (zstandard reaches the end of a dictionary most cheaply)."""
-    here, there = (Counter(g for t in texts for g in _grams(t)) for texts in (toxic, ordinary))
-    odds = lambda g: np.log((here[g] + 0.5) / (len(toxic) + 1)) - np.log((there[g] + 0.5) / (len(ordinary) + 1))
+def pieces(own: list[bytes], other: list[bytes]) -> bytes:
+    """Stretches of ``own`` made of n-grams over-represented against ``other``,
+    rarest first (zstandard reaches the end of a dictionary most cheaply)."""
+    here, there = (Counter(g for t in texts for g in _grams(t)) for texts in (own, other))
+    odds = lambda g: np.log((here[g] + 0.5) / (len(own) + 1)) - np.log((there[g] + 0.5) / (len(other) + 1))
     marked = {g for g, n in here.items() if n >= LEAST_DOCS and odds(g) >= LEAST_ODDS}
-    pieces: Counter[bytes] = Counter()
-    for t in toxic:
+    found: Counter[bytes] = Counter()
+    for t in own:
         k = 0
         while k <= len(t) - GRAM:
             end = k
             while end <= len(t) - GRAM and t[end:end + GRAM] in marked:
                 end += 1
             if end > k:
-                pieces[t[k:end + GRAM - 1]] += 1
+                found[t[k:end + GRAM - 1]] += 1
             k = max(end, k + 1)
-    return b"|".join([p for p, n in reversed(pieces.most_common()) if n >= 3] + [b""])
+    ranked = [p for p, n in found.most_common() if n >= LEAST_DOCS]
+    kept, size = [], 0
+    for p in ranked:
+        if size + len(p) < DICTIONARY_BYTES:
+            kept.append(p)
+            size += len(p) + 1
+    return b"\0".join([*reversed(kept), b""])
 
 
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionary contents."""
-    import zstandard as zs
-
-    flat = lambda texts: [f" {' '.join(words(t))} ".encode() for t in texts]
-    samples = [w for t in ordinary for w in windows(words(t), WINDOWS[-1])]
-    try:
-        common = zs.train_dictionary(ORDINARY_BYTES, samples).as_bytes()[-ORDINARY_BYTES:]
-    except zs.ZstdError:   # too little text to train on: take it as it is
-        common = b"".join(samples)[:ORDINARY_BYTES]
-    return common, toxic_pieces(flat(toxic), flat(ordinary)) + common
+    """(ordinary, toxic) dictionary contents, of one length."""
+    flat = [[f" {' '.join(words(t))} ".encode() for t in texts] for texts in (ordinary, toxic)]
+    both = [pieces(flat[0], flat[1]), pieces(flat[1], flat[0])]
+    size = max(map(len, both))
+    return tuple(d.rjust(size, b"\0") + OPENING for d in both)
 
 
 class Scorer:
@@ -103,15 +109,11 @@ class Scorer:
         self.weights = None if weights is None else np.array(weights)
 
     def features(self, text: str | None) -> list[float]:
-        tokens, out = words(text), [1.0]
-        for size in WINDOWS:
-            parts = windows(tokens, size)
-            saved = np.array([len(self.ordinary(w)) - len(self.toxic(w)) for w in parts], dtype=float)
-            length = sum(map(len, parts)) + 40
-            best = np.sort(saved)[-3:]
-            out += [100 * saved.sum() / length, np.log1p(max(best[-1], 0)), np.log1p(max(best.mean(), 0)),
-                    10 * float((saved >= 4).mean())]
-        return out
+        parts = windows(words(text))
+        saved = np.array([len(self.ordinary(w)) - len(self.toxic(w)) for w in parts], dtype=float)
+        total, best = saved.sum(), np.sort(saved)[-2:]
+        return [1.0, np.sqrt(max(total, 0)), 100 * total / (sum(map(len, parts)) + 200),
+                np.log1p(max(best[-1], 0)), np.log1p(max(best[0], 0)), float((saved >= 3).mean())]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if not len(texts):
