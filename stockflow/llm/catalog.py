@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import arrow_store, langid, packing, pii, toxicity
+from stockflow.llm import ann, arrow_store, langid, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth, against all."""
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_arrow_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to Arrow files and read back from them."""
     return arrow_store.encode_to_files(table(spark, sf_dir, "documents"))
@@ -40,7 +45,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op7_toxicity, op9_arrow_store, op10_langid)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}
