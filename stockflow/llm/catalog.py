@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import ann, arrow_store, langid, packing, pii, toxicity
+from stockflow.llm import ann, arrow_store, langid, neardup, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -45,7 +50,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op5_neardup, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}
