@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import ann, arrow_store, langid, neardup, packing, pii, toxicity
+from stockflow.llm import ann, arrow_store, decontam, langid, neardup, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents; clean documents have no row."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -50,7 +55,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op5_neardup, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}
