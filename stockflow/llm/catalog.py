@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import ann, arrow_store, decontam, langid, neardup, packing, pii, toxicity
+from stockflow.llm import ann, arrow_store, decontam, langid, lm, neardup, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the corpus model."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 128 to 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -55,7 +60,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op3_lm, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}

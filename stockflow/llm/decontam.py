@@ -23,13 +23,14 @@ Other columns are not read; ``clean`` passes them on.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import column_values, documents, ready
@@ -242,12 +243,14 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ready(spark)
     for index in indexes(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+        docs = docs.where(_untouched(spark.sparkContext.broadcast(index))(F.col("text").cast("string")))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def untouched(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([not hits for hits in shared.value.search(texts.tolist())], dtype=bool)
 
-        docs = docs.where(untouched(F.col("text").cast("string")))
-    return docs
+def _untouched(shared: Broadcast) -> Callable[[Column], Column]:
+    @F.pandas_udf("boolean")
+    def untouched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([not hits for hits in shared.value.search(texts.tolist())], dtype=bool)
+
+    return untouched

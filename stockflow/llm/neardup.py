@@ -286,11 +286,19 @@ def _across(rooted: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates (its least doc_id), all columns
-    kept; rows without an id stay unless their group has an id."""
+    kept.  Rows without an id stay.  An id on several rows stays if it leads a
+    group, once for each of its texts."""
     ready(docs.sparkSession)
-    kept = link(docs).where("kept").select("doc_id").distinct()
-    with_id = docs.join(kept.where("doc_id is not null"), "doc_id", "left_semi")
-    # A repeated id keeps one row; only ids that repeat are shuffled together, and rows of one id are reduced map-side.
+    key = F.col("doc_id").cast("long")
+    linked = stored(link(docs).where("doc_id is not null").groupBy("doc_id")
+                    .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")), "kept")
+    gone = bounded_broadcast(linked.where("not kept").select(F.col("doc_id").alias("__gone")))
+    left = docs.join(gone, key == F.col("__gone"), "left_anti")
+    several = stored(linked.where("kept and rows > 1").select(F.col("doc_id").alias("__several")), "several")
+    if several.isEmpty():
+        return left
+    several = bounded_broadcast(several)
     columns = docs.columns
-    one = with_id.groupBy("doc_id").agg(F.first(F.struct(*columns)).alias("row")).select("row.*")
-    return one.select(*columns).unionByName(docs.where("doc_id is null").select(*columns))
+    again = (left.join(several, key == F.col("__several"), "left_semi").groupBy("doc_id", "text")
+             .agg(F.first(F.struct(*columns)).alias("__row")).select("__row.*"))
+    return left.join(several, key == F.col("__several"), "left_anti").unionByName(again.select(*columns))
