@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockflow.llm import ann, arrow_store, decontam, langid, lm, neardup, packing, pii, toxicity
+from stockflow.llm import ann, arrow_store, chat, decontam, langid, lm, neardup, packing, pii, toxicity
+from stockflow.llm.common import id_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# How speakers are marked in the stand-in transcripts; the last style names nobody but in the first turn.
+_STYLES = [("System: ", "User: ", "Assistant: "), ("Instructions: ", "Human: ", "AI: "), ("### System", "### User", "### Assistant"),
+           ("[system] ", "[user] ", "[assistant] "), ("Context: ", "Q: ", "A: "), ("", "", "")]
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Stand-in input: each turn's lines, the first with a speaker marker in its
+    conversation's style (a marker alone is a line of its own), a blank line
+    after the turn where no markers are used."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(_STYLES)))
+
+    def mark(k: int) -> Column:
+        out = F.lit("")
+        for n, names in enumerate(_STYLES):
+            out = F.when(style == n, F.lit(names[k])).otherwise(out)
+        return out
+
+    found = F.when(F.col("role") == "system", mark(0)).when(F.col("role") == "user", mark(1)).when(F.col("role") == "assistant", mark(2)).otherwise("")
+    alone, bare = style == 2, style == len(_STYLES) - 1
+    found = F.when(bare & (F.col("turn") == 0), F.concat(F.initcap("role"), F.lit(": "))).otherwise(found)
+    body = F.split(F.coalesce("text", F.lit("")), "\n")
+    lines = F.when(alone, F.concat(F.array(found), body)).otherwise(
+        F.concat(F.array(F.concat(F.coalesce(found, F.lit("")), body[0])), F.slice(body, 2, 1 << 30)))
+    lines = F.when(bare, F.concat(lines, F.array(F.lit("")))).otherwise(lines)
+    return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", lines.alias("lines"))
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from all conversations as transcripts; the model learns
+    from those whose crc32(conv_id as text) mod 4 is not 1."""
+    turns = transcripts(table(spark, sf_dir, "conversations"))
+    hmm = chat.fit(turns.where(id_bucket("conv_id", 4) != 1))
+    lines = turns.select("conv_id", F.col("turn").alias("major"), F.posexplode("lines").alias("minor", "line"))
+    return chat.parse(lines, hmm)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -60,7 +98,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pii, op3_lm, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat, op2_pii, op3_lm, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
 
 # Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {}
