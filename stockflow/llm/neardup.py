@@ -10,8 +10,10 @@ share it.  Nodes of at most LIMIT classes are compared exhaustively.  Larger
 ones branch again, each class into BRANCHES children by further tokens that the
 node's path chooses, until they are small, tight (most classes resemble the
 node's first) or MAX_DEPTH deep; what is still large is compared in blocks.  A
-pair at the threshold shares a root's token with probability 0.75, so it escapes
-12 trees with probability 0.25^12.
+pair at the threshold shares a root's token with probability 0.75 and stays
+together at a later branching with 1 - 0.25^2, so at depth d it escapes 12 trees
+with probability (1 - 0.75 x 0.9375^d)^12: 6e-8 at the root, 1e-5 at depth 3.
+Nodes are pairs of numbers until classes meet; sketches join them only then.
 
 Comparison has two rounds, so that groups of copies are never expanded into
 pairs.  The first proposes, in each node, links to leaders only; these are
@@ -42,23 +44,27 @@ from stockflow.operators.joins import bounded_broadcast
 
 SHINGLE = 5
 PERCENT = 75
-TOKENS, TREES, BRANCHES = 64, 12, 4
-LIMIT, MAX_DEPTH = 96, 6
+TOKENS, TREES, BRANCHES = 64, 12, 2
+LIMIT, MAX_DEPTH = 256, 6
 AGREE = 30
 ALIKE = 52   # equal tokens that make a class follow a leader rather than lead
 _RNG = np.random.default_rng(5)
-_A = _RNG.integers(1, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
+_A = _RNG.integers(1, 1 << 63, TREES + TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, TREES + TOKENS, dtype=np.uint64)
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """sets x TOKENS minwise tokens (int32); sets must not be empty."""
+def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Minwise tokens of non-empty sets: sets x TREES (32 bits, one for each
+    tree's root) and sets x TOKENS (16 bits, to branch inside a node and to compare)."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), TOKENS), dtype=np.int32)
-    for k in range(TOKENS):
+    roots, tokens = np.empty((len(sets), TREES), dtype="<u4"), np.empty((len(sets), TOKENS), dtype="<u2")
+    for k in range(TREES + TOKENS):
         least = np.minimum.reduceat((flat * _A[k] + _B[k]) >> np.uint64(32), starts)
-        out[:, k] = least.astype(np.uint32).view(np.int32)
-    return out
+        if k < TREES:
+            roots[:, k] = least
+        else:
+            tokens[:, k - TREES] = mix(least)
+    return roots, tokens
 
 
 def _fingerprints(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -68,69 +74,57 @@ def _fingerprints(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, cls, tokens): set size, class key (null: empty set) and sketch."""
+    """(doc_id, n, cls, roots, tokens): set size, class key (null: empty set) and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(column_values(batch, "text"), size)
             full = [k for k, s in enumerate(sets) if len(s)]
             prints = dict(zip(full, _fingerprints([sets[k] for k in full]), strict=True))
-            rows = sketches([sets[k] for k in full]) if full else np.empty((0, TOKENS), dtype=np.int32)
+            drawn = sketches([sets[k] for k in full]) if full else ([], [])
             place = np.full(len(sets), -1)
             place[full] = np.arange(len(full))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array(list(map(len, sets)), pa.int64()),
                  *[pa.array([prints[k][j] if k in prints else None for k in range(len(sets))], pa.int64()) for j in (0, 1)],
-                 pa.array([rows[p].tobytes() if p >= 0 else None for p in place], pa.binary())],
-                names=["doc_id", "n", "f1", "f2", "tokens"])
+                 *[pa.array([rows[p].tobytes() if p >= 0 else None for p in place], pa.binary()) for rows in drawn]],
+                names=["doc_id", "n", "f1", "f2", "roots", "tokens"])
 
-    found = documents(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, tokens binary")
+    found = documents(docs).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, roots binary, tokens binary")
     key = F.when(F.col("f1").isNotNull(), F.xxhash64("f1", "f2", "n"))
-    return found.select("doc_id", "n", key.alias("cls"), "tokens")
-
-
-def _token(position: Column) -> Column:
-    return F.substr(F.col("tokens"), position * 4 + 1, F.lit(4))
-
-
-def _sized(rows: DataFrame) -> DataFrame:
-    """Nodes of two or more classes, with their sizes; singles link nothing."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("first")).where("size > 1")
-    return rows.join(sizes, "node")
+    return found.select("doc_id", "n", key.alias("cls"), "roots", "tokens")
 
 
-def _branch(rows: DataFrame, positions: Column) -> DataFrame:
-    """Each class into one child for each of ``positions``."""
-    return (rows.withColumn("p", F.explode(positions))
-            .select(F.xxhash64("node", "p", _token(F.col("p"))).alias("node"), "cls", "tokens"))
+def _nodes(rows: DataFrame, column: str, width: int, positions: Column) -> DataFrame:
+    """(node, cls): each class under the token at each of ``positions``; nodes of
+    one class are gone, the others have their size and least class."""
+    token = F.substr(F.col(column), F.col("p") * width + 1, F.lit(width))
+    below = rows.withColumn("p", F.explode(positions)).select(F.xxhash64("node", "p", token).alias("node"), "cls")
+    sizes = below.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("first")).where("size > 1")
+    return stored(below.join(sizes, "node"), "nodes")
 
 
 def leaves(reps: DataFrame) -> DataFrame:
-    """(node, cls, tokens, size, first): the classes of all nodes to compare."""
-    root = reps.select(F.lit(0).cast("long").alias("node"), "cls", "tokens")
-    rows = stored(_sized(_branch(root, F.sequence(F.lit(0), F.lit(TREES - 1)))), "nodes")
-    done = [rows.where(F.col("size") <= LIMIT)]
+    """(node, cls, size, first): the classes of all nodes to compare."""
+    top = reps.withColumn("node", F.lit(0).cast("long"))
+    rows = _nodes(top, "roots", 4, F.sequence(F.lit(0), F.lit(TREES - 1)))
+    out = rows.where(F.col("size") <= LIMIT)
     for _ in range(MAX_DEPTH):
         big = rows.where(F.col("size") > LIMIT)
         if big.isEmpty():
-            break
-        heads = (big.where("cls = first").select("node", F.col("tokens").alias("head"), "first").dropDuplicates(["node"]))
-        # Equal tokens with the node's first class, counted four bytes at a time.
-        same = lambda a, b: sum((F.substr(a, F.lit(4 * k + 1), F.lit(4)) == F.substr(b, F.lit(4 * k + 1), F.lit(4))).cast("int")
-                                for k in range(TOKENS - 16, TOKENS))
-        near = (big.join(heads.drop("first"), "node")
-                .groupBy("node").agg(F.avg((same(F.col("tokens"), F.col("head")) >= 10).cast("int")).alias("tight")))
-        marked = stored(big.join(near, "node"), "big")
-        done.append(marked.where("tight >= 0.5").select(*rows.columns))
-        loose = marked.where("tight < 0.5")
+            return out
+        big = stored(big.join(reps.select("cls", "tokens"), "cls"), "big")
+        heads = big.where("cls = first").select("node", F.col("tokens").alias("head"))
+        # Equal tokens with the node's first class, over the last 16.
+        token = lambda c, k: F.substr(F.col(c), F.lit(2 * k + 1), F.lit(2))
+        same = sum((token("tokens", k) == token("head", k)).cast("int") for k in range(TOKENS - 16, TOKENS))
+        tight = big.join(heads, "node").groupBy("node").agg(F.avg((same >= 10).cast("int")).alias("tight"))
+        tight = stored(tight, "tight")
+        out = out.unionByName(big.join(tight.where("tight >= 0.5"), "node", "left_semi").select(*rows.columns))
+        loose = big.join(tight.where("tight < 0.5"), "node", "left_semi")
         step = [F.pmod(F.xxhash64("node", F.lit(b)), F.lit(TOKENS)).cast("int") for b in range(BRANCHES)]
-        rows = stored(_sized(_branch(loose, F.array_distinct(F.array(*step))).distinct()), "nodes")
-        done.append(rows.where(F.col("size") <= LIMIT))
-    else:
-        done.append(rows.where(F.col("size") > LIMIT))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+        rows = _nodes(loose, "tokens", 2, F.array_distinct(F.array(*step)))
+        out = out.unionByName(rows.where(F.col("size") <= LIMIT))
+    return out.unionByName(rows.where(F.col("size") > LIMIT))
 
 
 def _blocked(rows: DataFrame) -> DataFrame:
@@ -138,12 +132,12 @@ def _blocked(rows: DataFrame) -> DataFrame:
     n = F.ceil(F.col("size") / LIMIT).cast("int")
     own = F.pmod(F.xxhash64("cls"), n).cast("int")
     place = F.when(n <= 1, F.array(F.lit(0))).when(F.col("cls") == F.col("first"), F.sequence(F.lit(0), n - 1)).otherwise(F.array(own))
-    return rows.withColumn("block", F.explode(place)).select(F.xxhash64("node", "block").alias("node"), "cls", "tokens")
+    return rows.withColumn("block", F.explode(place)).select(F.xxhash64("node", "block").alias("node"), "cls")
 
 
-def _compare(rows: DataFrame, roots: bool) -> DataFrame:
-    """Proposed links inside nodes.  ``rows``: node, cls, tokens and, in the
-    second round, root; a node is small, so a task holds one at a time."""
+def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
+    """Proposed links inside nodes.  ``rows``: node, cls and, in the second
+    round, root; a node is small, so a task holds one at a time."""
     def links(cls: np.ndarray, t: np.ndarray, root: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if root is not None:
             for k in range(len(cls) - 1):
@@ -178,7 +172,7 @@ def _compare(rows: DataFrame, roots: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(),
-                   np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int32).reshape(-1, TOKENS),
+                   np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u2").reshape(-1, TOKENS),
                    batch.column(3).to_numpy() if roots else None]
             if held is not None:
                 new = [None if x is None else np.concatenate((h, x)) for h, x in zip(held, new, strict=True)]
@@ -190,6 +184,7 @@ def _compare(rows: DataFrame, roots: bool) -> DataFrame:
             yield nodes(*held)
 
     columns = ["node", "cls", "tokens", *(["root"] if roots else [])]
+    rows = rows.join(reps.select("cls", "tokens"), "cls")
     return (rows.select(*columns).repartition("node").sortWithinPartitions("node", "cls")
             .mapInArrow(run, "a long, b long").where("a <> b")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
@@ -239,9 +234,9 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     ready(docs.sparkSession)
     found = stored(classes(docs, size), "classes")
     reps = stored(found.where("cls is not null").groupBy("cls")
-                  .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "reps")
+                  .agg(F.min("doc_id").alias("rep"), F.first("roots").alias("roots"), F.first("tokens").alias("tokens")), "reps")
     nodes = stored(leaves(reps), "leaves")
-    proposed = stored(_compare(_blocked(nodes), roots=False), "proposed")
+    proposed = stored(_compare(_blocked(nodes), reps, roots=False), "proposed")
     links = verified(docs, reps, proposed, percent, size)
     roots = stored(components(links), "roots")
 
@@ -250,7 +245,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
               .withColumn("root", F.coalesce("root", "cls")))
     mixed = rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("node")
     rooted = stored(rooted.join(mixed, "node", "left_semi"), "mixed")
-    more = _compare(_across(rooted), roots=True).join(proposed, ["a", "b"], "left_anti")
+    more = _compare(_across(rooted), reps, roots=True).join(proposed, ["a", "b"], "left_anti")
     more = stored(more, "proposed")
     if not more.isEmpty():
         links = links.unionByName(verified(docs, reps, more, percent, size))
@@ -269,7 +264,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
 def _across(rooted: DataFrame) -> DataFrame:
     """Nodes for the second round.  A large node meets block by block: the
     classes outside its commonest component (the few) against all of it."""
-    small = rooted.where(F.col("size") <= LIMIT).select("node", "cls", "tokens", "root")
+    small = rooted.where(F.col("size") <= LIMIT).select("node", "cls", "root")
     large = rooted.where(F.col("size") > LIMIT)
     counts = large.groupBy("node", "root").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("node").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
@@ -280,7 +275,7 @@ def _across(rooted: DataFrame) -> DataFrame:
     everyone = large.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("few") - 1)))
     outside = (large.where("root <> main").withColumn("j", part)
                .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    met = everyone.unionByName(outside).select(F.xxhash64("node", "i", "j").alias("node"), "cls", "tokens", "root")
+    met = everyone.unionByName(outside).select(F.xxhash64("node", "i", "j").alias("node"), "cls", "root")
     return small.unionByName(met.distinct())
 
 
