@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from stockflow.llm.common import column_values, documents, id_bucket, ready, stored
 from stockflow.llm.words import mix, word_hashes
@@ -66,37 +67,52 @@ def _expand(b: bytes, kind: type) -> np.ndarray:
 BLOCK = "block long, n_tokens long, words binary, tokens binary, sizes binary, folds binary, doc_ids binary, no_id binary"
 
 
+class _Cutter:
+    """Gathers documents of one kind until they fill a block."""
+
+    def __init__(self, first: int):
+        self.number = first
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.sizes, self.folds, self.ids, self.held = [], [], [], [], 0
+
+    def add(self, doc_id: int | None, fold: int, hashes: np.ndarray) -> None:
+        self.hashes += [hashes, np.array([_END])]
+        self.sizes.append(len(hashes) + 1)
+        self.folds.append(fold)
+        self.ids.append(doc_id)
+        self.held += self.sizes[-1]
+
+    def block(self) -> pa.RecordBatch:
+        words, tokens = np.unique(np.concatenate(self.hashes), return_inverse=True)
+        missing = np.array([i is None for i in self.ids])
+        row = [self.number, len(tokens), np.diff(words, prepend=np.uint64(0)), tokens.astype(np.uint32),
+               np.array(self.sizes, dtype=np.uint32), np.array(self.folds, dtype=np.uint8),
+               np.array([i or 0 for i in self.ids], dtype=np.int64), missing.astype(np.uint8)]
+        self.clear()
+        self.number += 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x if k < 2 else _squeeze(x)], pa.int64() if k < 2 else pa.binary()) for k, x in enumerate(row)],
+            names=[c.split()[0] for c in BLOCK.split(", ")])
+
+
 def blocks(docs: DataFrame) -> DataFrame:
-    """Documents as word numbers, a block of about BLOCK_TOKENS tokens a row."""
+    """Documents as word numbers, a block of about BLOCK_TOKENS tokens a row.
+    Odd block numbers hold the fold set aside, even ones all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId(), 0
-        hashes, sizes, folds, ids = [], [], [], []
-
-        def block() -> pa.RecordBatch:
-            words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
-            missing = np.array([i is None for i in ids])
-            row = [(task << 32) + made, len(tokens), np.diff(words, prepend=np.uint64(0)), tokens.astype(np.uint32),
-                   np.array(sizes, dtype=np.uint32), np.array(folds, dtype=np.uint8),
-                   np.array([i or 0 for i in ids], dtype=np.int64), missing.astype(np.uint8)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x if k < 2 else _squeeze(x)], pa.int64() if k < 2 else pa.binary()) for k, x in enumerate(row)],
-                names=[c.split()[0] for c in BLOCK.split(", ")])
-
-        held = 0
+        first = TaskContext.get().partitionId() << 32
+        cutters = (_Cutter(first), _Cutter(first + 1))
         for batch in batches:
             h, at = word_hashes(column_values(batch, "text"))
-            fold, doc = column_values(batch, "fold"), column_values(batch, "doc_id")
-            for k in range(len(doc)):
-                hashes += [h[at[k]:at[k + 1]], np.array([_END])]
-                sizes.append(int(at[k + 1] - at[k]) + 1)
-                folds.append(fold[k])
-                ids.append(doc[k])
-                held += sizes[-1]
-                if held >= BLOCK_TOKENS:
-                    yield block()
-                    hashes, sizes, folds, ids, held, made = [], [], [], [], 0, made + 1
-        if ids:
-            yield block()
+            for k, (doc_id, fold) in enumerate(zip(column_values(batch, "doc_id"), column_values(batch, "fold"), strict=True)):
+                cutter = cutters[fold == DEV]
+                cutter.add(doc_id, fold, h[at[k]:at[k + 1]])
+                if cutter.held >= BLOCK_TOKENS:
+                    yield cutter.block()
+        for cutter in cutters:
+            if cutter.ids:
+                yield cutter.block()
 
     d = documents(docs).select("doc_id", "text", id_bucket("doc_id", FOLDS).alias("fold"))
     return d.mapInArrow(run, BLOCK)
@@ -223,9 +239,7 @@ def score(docs: DataFrame) -> DataFrame:
         return spark.createDataFrame([], out)
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = max(tasks, -(-tokens // PART_TOKENS))
-    # A handful of large rows: one block to a task, whatever file it is in.
-    dealt = cut.repartition(min(max(tasks, 1), 10_000), "block")
-    sent = dealt.mapInArrow(_send(parts), COUNTS)
+    sent = cut.mapInArrow(_send(parts), COUNTS)
     replies = stored(sent.groupBy("kind", "part").applyInPandas(_sum, REPLY), "counts")
     types_kept, types_all, n_kept, n_all = replies.where("kind = 0").agg(
         *[F.sum(c) for c in ("types_kept", "types_all", "n_kept", "n_all")]).first()
@@ -254,8 +268,11 @@ def score(docs: DataFrame) -> DataFrame:
             "n_known": np.add.reduceat((words > 0)[b.tokens].astype(np.int64), start), "train_tokens": n_all,
             "base_score": np.add.reduceat(base[b.tokens], start), "score": np.add.reduceat(model[b.pair_of], start)})
 
-    own = cut.groupBy("block").cogroup(replies.select("block", "kind", "part", "kept", "aside").groupBy("block"))
-    cells = (own.applyInPandas(aside, "bucket int, q2 int, q1 int, n long")
+    def own(which: str) -> PandasCogroupedOps:
+        mine = replies.where(which).select("block", "kind", "part", "kept", "aside")
+        return cut.where(which).groupBy("block").cogroup(mine.groupBy("block"))
+
+    cells = (own("block % 2 = 1").applyInPandas(aside, "bucket int, q2 int, q1 int, n long")
              .groupBy("bucket", "q2", "q1").agg(F.sum("n").alias("n")).toPandas())   # at most BUCKETS x grid x grid rows
     lam = weights(cells.sort_values(["bucket", "q2", "q1"]), 1.0 / (types_kept + 1))
-    return own.applyInPandas(scores, out)
+    return own("true").applyInPandas(scores, out)
