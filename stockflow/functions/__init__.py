@@ -15,8 +15,6 @@ from stockflow.functions.numeric import (
     WIDE_MONEY,
     count_where,
     money_out,
-    money_sum,
-    rate_pct,
     round_half_even,
     round_half_up,
     safe_ratio,
@@ -25,6 +23,6 @@ from stockflow.functions.numeric import (
 __all__ = [
     "MONEY", "WIDE_MONEY", "calendar_attributes", "count_where", "date_key",
     "day_of_week", "days_between", "is_month_end", "is_weekend", "iso_date",
-    "money_out", "money_sum", "month_label", "quarter", "rate_pct",
+    "money_out", "month_label", "quarter",
     "round_half_even", "round_half_up", "safe_ratio", "week_number",
 ]

@@ -40,11 +40,6 @@ def round_half_even(x: Column | str, scale: int) -> Column:
     return F.rint(_c(x).cast("double") * f) / f
 
 
-def money_sum(x: Column | str) -> Column:
-    """Exact sum of a money column (``DECIMAL``), never a float sum."""
-    return F.sum(_c(x).cast(MONEY))
-
-
 def money_out(x: Column | str) -> Column:
     """Display form of an exact money aggregate: 2 dp as double."""
     return F.round(_c(x).cast(WIDE_MONEY), 2).cast("double")
@@ -58,8 +53,3 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
 def count_where(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` — NULL conditions count 0."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
-
-def rate_pct(cond: Column, scale: int = 1) -> Column:
-    """Share of rows meeting ``cond`` ×100, SQL-rounded to ``scale`` dp."""
-    return round_half_up(count_where(cond).cast("double") / F.count(F.lit(1)).cast("double") * 100, scale)

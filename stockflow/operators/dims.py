@@ -1,9 +1,10 @@
 """Dimension tables of the star schema.
 
-* ``date_dimension``      — one row per day of a fixed range (bounded, so it
-  is generated in a single small task and may be broadcast).
+* ``date_dimension``      — one row per day of the data's range (bounded, so it
+  is generated in a single small task).
 * ``product_dimension``   — raw products + ``margin_pct`` (half-even, 2 dp).
-* ``supplier_dimension`` / ``warehouse_dimension`` — conformed pass-through.
+* ``supplier_dimension`` / ``warehouse_dimension`` — conformed
+  pass-through; required columns must be there, others are kept.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from stockflow.functions.calendar import calendar_attributes, days_between
 from stockflow.functions.numeric import round_half_even, safe_ratio
 
-SUPPLIER_COLUMNS = ["supplier_id", "supplier_name", "country", "on_time_rate", "avg_lead_time_days"]
+# The dimensions' columns, in order.
+SUPPLIER_COLUMNS = ["supplier_id", "supplier_name", "country", "contact_email", "on_time_rate", "avg_lead_time_days"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "supplier_id", "unit_cost",
                    "unit_price", "base_demand"]
 WAREHOUSE_COLUMNS = ["warehouse_id", "warehouse_name", "city", "state", "capacity"]
@@ -34,13 +36,17 @@ def product_dimension(raw_products: DataFrame) -> DataFrame:
     with pandas' half-even rounding; a zero price gives NULL."""
     p = raw_products
     margin = safe_ratio(F.col("unit_price") - F.col("unit_cost"), F.col("unit_price")) * 100
-    cols = [c for c in PRODUCT_COLUMNS if c in p.columns]
-    return p.select(*cols, round_half_even(margin, 2).alias("margin_pct"))
+    return p.select(*_with_extra(p, PRODUCT_COLUMNS), round_half_even(margin, 2).alias("margin_pct"))
 
 
 def supplier_dimension(raw_suppliers: DataFrame) -> DataFrame:
-    return raw_suppliers.select(*[c for c in SUPPLIER_COLUMNS if c in raw_suppliers.columns])
+    return raw_suppliers.select(*_with_extra(raw_suppliers, SUPPLIER_COLUMNS))
 
 
 def warehouse_dimension(raw_warehouses: DataFrame) -> DataFrame:
-    return raw_warehouses.select(*WAREHOUSE_COLUMNS)
+    return raw_warehouses.select(*_with_extra(raw_warehouses, WAREHOUSE_COLUMNS))
+
+
+def _with_extra(df: DataFrame, required: list[str]) -> list[str]:
+    """Required columns first (a missing one is an error), others after them."""
+    return [*required, *[c for c in df.columns if c not in required]]

@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import date_key
 from stockflow.functions.numeric import MONEY, round_half_even
-from stockflow.operators.joins import lookup_join
 
-# Fact layouts, the demand horizon (days), the days-of-supply cap
-# and the default demand of a never-ordered product, as the reference defines them.
-HORIZON_DAYS, SUPPLY_CAP, DEFAULT_DEMAND = 730, 999.0, 1.0
+# Fact layouts, the days-of-supply cap and the default demand of a
+# never-ordered product, as the reference defines them.
+SUPPLY_CAP, DEFAULT_DEMAND = 999.0, 1.0
 FACT_ORDER_COLUMNS = ["order_id", "date_id", "product_id", "warehouse_id", "quantity", "unit_price",
                       "total_amount", "revenue", "shipping_method", "status", "customer_city",
                       "customer_state"]
@@ -46,7 +45,7 @@ def fact_orders(raw_orders: DataFrame, cancelled: str = "Cancelled") -> DataFram
     )
 
 
-def avg_daily_demand(raw_orders: DataFrame, horizon_days: int = HORIZON_DAYS) -> DataFrame:
+def avg_daily_demand(raw_orders: DataFrame, horizon_days: int) -> DataFrame:
     """Units per day per product over the horizon (partial + final aggregate)."""
     return (raw_orders.groupBy("product_id")
                       .agg((F.sum("quantity").cast("double") / F.lit(float(horizon_days)))
@@ -57,11 +56,10 @@ def fact_inventory(raw_inventory: DataFrame, demand: DataFrame, supply_cap: floa
                    default_demand: float = DEFAULT_DEMAND) -> DataFrame:
     """Daily stock snapshots with days of supply and the stock-out flag.
 
-    ``demand`` has one row per product; it is checkpointed and broadcast only
-    when its row count is under the broadcast bound, otherwise joined by
-    shuffle.  The snapshot table is never shuffled for a broadcast join.
+    ``demand`` has one row per product; the planner broadcasts it by its actual
+    size or joins by shuffle, splitting hot products.
     """
-    inv = lookup_join(raw_inventory, demand, "product_id", "left", materialize=True)
+    inv = raw_inventory.join(demand, "product_id", "left")
     dem = F.coalesce(F.col("avg_daily_demand"), F.lit(float(default_demand)))
     stock = F.col("stock_level").cast("double")
     ratio = F.try_divide(stock, F.nullif(dem, F.lit(0.0)))

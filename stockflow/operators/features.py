@@ -20,7 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.operators.joins import bounded_broadcast, broadcast_calendar
 from stockflow.operators.ranking import ordinal_encode
 
 # Feature list and target of the reference's model, in order.
@@ -31,6 +30,7 @@ TARGET = "units_sold"
 LAGS = (7, 14, 30)
 WINDOWS = (7, 30)
 
+# Output layout of the daily demand.
 DAILY_COLUMNS = ["full_date", "year", "month", "quarter", "week_number", "day_of_week", "is_weekend",
                  "product_id", "category", "base_demand", "units_sold"]
 
@@ -40,9 +40,8 @@ def daily_demand(fact_orders: DataFrame, dim_date: DataFrame, dim_products: Data
     by_day = (fact_orders.where(F.col("status") != cancelled)
               .groupBy("date_id", "product_id")
               .agg(F.sum("quantity").cast("bigint").alias("units_sold")))
-    cal = broadcast_calendar(dim_date.select("date_id", "full_date", "year", "month", "quarter",
-                                             "week_number", "day_of_week", "is_weekend"))
-    prod = bounded_broadcast(dim_products.select("product_id", "category", "base_demand"))
+    cal = dim_date.select("date_id", "full_date", "year", "month", "quarter", "week_number", "day_of_week", "is_weekend")
+    prod = dim_products.select("product_id", "category", "base_demand")
     return by_day.join(cal, "date_id").join(prod, "product_id").select(*DAILY_COLUMNS)
 
 
@@ -62,8 +61,7 @@ def demand_features(daily: DataFrame, lags: Sequence[int] = LAGS, windows: Seque
                     .alias(f"rolling_{k}"))
     feats = daily.select(*daily.columns, *cols)
     prod_enc, cat_enc = encoders or label_encoders(daily)
-    feats = (feats.join(bounded_broadcast(prod_enc), "product_id", "left")
-                  .join(bounded_broadcast(cat_enc), "category", "left"))
+    feats = feats.join(prod_enc, "product_id", "left").join(cat_enc, "category", "left")
     required = [f"lag_{k}" for k in lags] + [f"rolling_{k}" for k in windows]
     return feats.dropna(subset=required).select(*DAILY_COLUMNS, *required, "product_enc", "category_enc")
 

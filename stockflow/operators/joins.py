@@ -1,4 +1,7 @@
-"""Join helpers with an explicit size check before any broadcast.
+"""Broadcast behind an explicit size check.
+
+Stored dimensions need no hint: the planner knows their size and picks the
+strategy.  For a side of which only the caller knows that it may be small:
 
 ``bounded_broadcast`` counts the small side (cheap for a parquet dimension:
 the count comes from file footers; for a computed side it is checkpointed to
@@ -8,22 +11,16 @@ the estimated size (count × schema row width) is under ``max_bytes``.
 Beyond the bound the plain DataFrame is returned and the planner falls back
 to a shuffle join (sort-merge / shuffled hash, AQE skew handling).
 
-``calendar`` tables are bounded by construction (one row per day of a fixed
-range); :func:`broadcast_calendar` checks them against that bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bounds for a broadcast side: rows, and estimated bytes (rows × row width).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# A calendar of a century is ~36,500 rows.
-MAX_CALENDAR_ROWS = 40_000
 
 _WIDTH = {"string": 32, "binary": 32, "date": 4, "int": 4, "smallint": 2, "tinyint": 1, "boolean": 1,
           "float": 4}
@@ -41,16 +38,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         df = df.checkpoint(eager=True)
     n = df.count()
     return F.broadcast(df) if n <= max_rows and n * row_width(df) <= max_bytes else df
-
-
-def broadcast_calendar(dim_date: DataFrame) -> DataFrame:
-    """Broadcast a calendar dimension: one row per day, so a century is at most
-    ``MAX_CALENDAR_ROWS`` rows; the bound is still checked."""
-    return bounded_broadcast(dim_date, MAX_CALENDAR_ROWS)
-
-
-def lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, materialize: bool = False) -> DataFrame:
-    """Join a large table to a keyed lookup, broadcasting the lookup only if it
-    is proven small."""
-    return big.join(bounded_broadcast(small, max_rows, materialize), on, how)

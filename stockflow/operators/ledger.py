@@ -19,7 +19,7 @@ event.  Physical shape:
   pair is combined before the shuffle);
 * restock events are generated inside each assortment row
   (``sequence(0, days-1, every)``), sale events come from the daily units;
-  both are hash-partitioned on ``product_id`` and merged per pair-day;
+  both are hash-partitioned on the pair and merged per pair-day;
 * the running window sorts *events* (≈ days/every + sale days per pair), not
   the calendar grid; ``lead`` gives the next event day;
 * every event row explodes into the days it covers (``sequence``): no cross
@@ -88,7 +88,7 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
     day0 = F.to_date(F.lit(start))
     zero = F.lit(0).cast("bigint")
 
-    restocks = (assortment.repartition(partitions, "product_id")
+    restocks = (assortment.repartition(partitions, "product_id", "warehouse_id")
                 .select("product_id", "warehouse_id",
                         F.explode(F.sequence(F.lit(0), F.lit(n_days - 1), F.lit(restock_every))).alias("i"),
                         F.col("restock_qty").cast("bigint").alias("restock"), zero.alias("sold"),
@@ -97,7 +97,7 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
              .select("product_id", "warehouse_id", F.datediff("d", day0).alias("i"),
                      zero.alias("restock"), F.col("sold").cast("bigint").alias("sold"),
                      F.lit(None).cast("bigint").alias("initial_stock"))
-             .repartition(partitions, "product_id"))
+             .repartition(partitions, "product_id", "warehouse_id"))
     events = (restocks.unionByName(sales)
               .groupBy("product_id", "warehouse_id", "i")
               .agg(F.sum("restock").alias("restock"), F.sum("sold").alias("sold"),

@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from stockflow.functions.calendar import calendar_attributes, iso_date, month_label
 from stockflow.functions.numeric import round_half_even
 from stockflow.operators.features import FEATURES, TARGET
-from stockflow.operators.joins import bounded_broadcast
 
 PREDICTION = "prediction"
 
@@ -39,6 +38,8 @@ PREDICTION = "prediction"
 # forecast inputs, and the reorder factor over base demand.
 NUM_TREES, MAX_DEPTH, MIN_LEAF, SEED = 100, 12, 5, 42
 HORIZON, HISTORY_DEPTH, REORDER_FACTOR = 90, 30, 1.2
+# Partitions of the training rows: a setting, never the cluster's size of the moment.
+FIT_PARTITIONS = 32
 
 
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -50,11 +51,15 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
                num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF, seed: int = SEED,
-               max_bins: int = 64, max_memory_mb: int = 4096) -> RandomForestRegressionModel:
-    data = assemble(train, features).select("features", F.col(target).cast("double").alias("label"))
+               max_bins: int = 64, max_memory_mb: int = 4096, partitions: int = FIT_PARTITIONS,
+               keys: Sequence[str] = ("product_id", "full_date"), bootstrap: bool = True) -> RandomForestRegressionModel:
+    """Rows are dealt by a hash of ``keys`` into a given number of partitions and
+    sorted there: the sampled trees do not depend on the cluster's size."""
+    dealt = train.repartition(partitions, *keys).sortWithinPartitions(*keys, target)
+    data = assemble(dealt, features).select("features", F.col(target).cast("double").alias("label"))
     rf = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                seed=seed, featureSubsetStrategy="all", maxBins=max_bins,
-                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=max_memory_mb,
+                               subsamplingRate=1.0, bootstrap=bootstrap, maxMemoryInMB=max_memory_mb,
                                cacheNodeIds=True, checkpointInterval=10,
                                labelCol="label", featuresCol="features", predictionCol=PREDICTION)
     return rf.fit(data)
@@ -113,8 +118,8 @@ def forecast_features(features_df: DataFrame, products: DataFrame, product_enc:
     end_iso = date.fromordinal(end).isoformat()
     prod = (products.select("product_id", "product_name", "category", "base_demand")
             .join(hist, "product_id", "left")
-            .join(bounded_broadcast(product_enc), "product_id", "left")
-            .join(bounded_broadcast(category_enc), "category", "left")
+            .join(product_enc, "product_id", "left")
+            .join(category_enc, "category", "left")
             .select("product_id", "product_name", "category",
                     F.coalesce("product_enc", F.lit(0)).cast("int").alias("product_enc"),
                     F.coalesce("category_enc", F.lit(0)).cast("int").alias("category_enc"),

@@ -11,8 +11,8 @@ product) we rank in parallel instead:
 3. add the total count of all earlier partitions, from a table with one row
    per partition (bounded by the partition count, so broadcastable):
    ``rank(value) = rows strictly before it + 1``;
-4. join the ranks back on the ordering values (null-safe), broadcasting the
-   value table only when its size is proven small.
+4. join the ranks back on the ordering values (null-safe), whose strategy the
+   planner picks by the value table's actual size.
 
 The result equals ``rank() over (order by ...)``.  The staged values are
 checkpointed so a recomputation after executor loss sees the same partitions.
@@ -26,7 +26,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.operators.joins import bounded_broadcast
 
 _PID = "__rank_pid"
 
@@ -62,7 +61,7 @@ def global_rank(df: DataFrame, order: Sequence[tuple[str | Column, bool]], rank_
     keyed = df.select("*", *[e.alias(k) for e, k in zip(exprs, keys)])
     key_order = [F.col(k).desc() if desc else F.col(k).asc() for k, (_, desc) in zip(keys, order)]
     values = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    ranks = bounded_broadcast(_value_ranks(values, key_order, n))
+    ranks = _value_ranks(values, key_order, n)
     cond = reduce(lambda a, b: a & b, [keyed[k].eqNullSafe(ranks[k]) for k in keys])
     out = keyed.join(ranks, cond, "inner")
     return out.select(*[keyed[c] for c in df.columns], F.col("__rank").alias(rank_col))

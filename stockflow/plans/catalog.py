@@ -8,6 +8,8 @@ oracle produces (ints, bigints, doubles, strings; money shown as double).
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,7 @@ from pyspark.sql import functions as F
 from stockflow.functions.calendar import iso_date
 from stockflow.functions.numeric import money_out, round_half_up
 from stockflow.operators import facts
-from stockflow.operators.joins import broadcast_calendar
-from stockflow.plans import kpis
+from stockflow.plans import export, kpis
 from stockflow.plans.forecast import demand_forecast, top_by
 from stockflow.operators import model as mdl
 from stockflow.plans.warehouse import star_schema
@@ -56,24 +57,77 @@ def q_fact_orders(spark, sf_dir):
     return _orders_out(_ws(spark, sf_dir).plan("fact_orders"))
 
 
+def _fresh(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A path of its own for each input and call."""
+    return shared_dir(spark, "roundtrip", f"{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}-{uuid.uuid4().hex[:8]}", name)
+
+
 def q_warehouse_roundtrip(spark, sf_dir):
     """fact_orders written as a replace-if-exists parquet table partitioned by
     order year (date filters prune whole folders), then scanned back."""
-    path = shared_dir(spark, "roundtrip", "fact_orders")
+    path = _fresh(spark, sf_dir, "fact_orders")
     fo = _ws(spark, sf_dir).plan("fact_orders")
     files.write_table(fo.withColumn("order_year", F.floor(F.col("date_id") / 10000).cast("int")), path,
                       partition_by=["order_year"])
     return _orders_out(files.read_table(spark, path).drop("order_year"))
 
 
+def _csv_back(spark, sf_dir, name):
+    """A raw table written as CSV with a header and read back by column name with
+    its explicit schema (ids and dates as text, money as decimal)."""
+    path = _fresh(spark, sf_dir, f"{name}.csv")
+    files.write_csv(_ws(spark, sf_dir).raw(name), path)
+    schema = schemas.RAW_SCHEMAS[name]
+    back = files.read_raw(spark, path, name)
+    return back.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType == schemas.MONEY else F.col(f.name)
+                         for f in schema.fields])
+
+
 def q_csv_roundtrip(spark, sf_dir):
-    """Raw orders written as CSV with a header, read back with the explicit
-    raw-orders schema (ids and dates as text, money as decimal)."""
-    path = shared_dir(spark, "roundtrip", "orders_csv")
-    files.write_csv(_ws(spark, sf_dir).raw("orders"), path)
-    back = files.read_raw(spark, path, "orders")
-    return back.select(*[F.col(c).cast("double").alias(c) if c in ("unit_price", "total_amount")
-                         else F.col(c) for c in schemas.ORDERS.fieldNames()])
+    return _csv_back(spark, sf_dir, "orders")
+
+
+def q_csv_suppliers(spark, sf_dir):
+    return _csv_back(spark, sf_dir, "suppliers")
+
+
+def q_csv_products(spark, sf_dir):
+    return _csv_back(spark, sf_dir, "products")
+
+
+def q_csv_warehouses(spark, sf_dir):
+    return _csv_back(spark, sf_dir, "warehouses")
+
+
+def q_csv_inventory(spark, sf_dir):
+    """All daily snapshots through CSV, summed up for each stocked pair."""
+    return (_csv_back(spark, sf_dir, "inventory").groupBy("product_id", "warehouse_id")
+            .agg(F.count(F.lit(1)).alias("n_days"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+                 F.min("inventory_id").alias("first_id"), F.sum("stock_level").alias("stock"),
+                 F.sum("restock_qty").alias("restocked")))
+
+
+def q_kpi_export_roundtrip(spark, sf_dir):
+    """The eight KPI files written as CSV and read back: rows, columns and the
+    total of one measure of each."""
+    folder = _fresh(spark, sf_dir, "analytics")
+    export.write_kpis(_ws(spark, sf_dir), folder)
+    out = None
+    for name, measure in export.KPI_MEASURES.items():
+        back = spark.read.option("header", True).csv(f"{folder}/{name}.csv")
+        one = back.agg(F.lit(name).alias("file"), F.count(F.lit(1)).alias("n_rows"),
+                       F.lit(len(back.columns)).alias("n_columns"),
+                       F.coalesce(F.sum(F.col(measure).cast("decimal(28,2)")), F.lit(0)).cast("double").alias("total"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_dim_suppliers(spark, sf_dir):
+    return _ws(spark, sf_dir).plan("dim_suppliers")
+
+
+def q_dim_warehouses(spark, sf_dir):
+    return _ws(spark, sf_dir).plan("dim_warehouses")
 
 
 def q_avg_daily_demand(spark, sf_dir):
@@ -158,7 +212,7 @@ def q_v2(spark, sf_dir):
     fo, dd = _t(spark, sf_dir, "fact_orders"), _t(spark, sf_dir, "dim_date")
     by_day = fo.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("u"),
                                        F.sum("revenue").alias("r"))
-    return (by_day.join(broadcast_calendar(dd.select("date_id", "year")), "date_id")
+    return (by_day.join(dd.select("date_id", "year"), "date_id")
             .groupBy("year")
             .agg(F.sum("n").cast("bigint").alias("total_orders"), F.sum("u").cast("bigint").alias("total_units"),
                  money_out(F.sum("r")).alias("total_revenue"))
@@ -208,7 +262,7 @@ def q_dash_revenue_cards(spark, sf_dir):
 def q_q4_share(spark, sf_dir):
     fo, dd = _t(spark, sf_dir, "fact_orders"), _t(spark, sf_dir, "dim_date")
     by_day = fo.groupBy("date_id").agg(F.sum("revenue").alias("r"))
-    j = by_day.join(broadcast_calendar(dd.select("date_id", "quarter")), "date_id")
+    j = by_day.join(dd.select("date_id", "quarter"), "date_id")
     q4 = F.sum(F.when(F.col("quarter") == 4, F.col("r")).otherwise(F.lit(0).cast("decimal(18,2)")))
     tot = F.sum("r")
     return j.agg(money_out(q4).alias("q4_revenue"), money_out(tot).alias("total_revenue"),
@@ -276,6 +330,18 @@ def q_demand_top5_month(spark, sf_dir, month: str = "2001-10"):
     return top_by(q_demand_monthly(spark, sf_dir), month, "units_sold")
 
 
+def q_model_counts(spark, sf_dir):
+    """What is exact about the fitted model: rows of either side, features, cutoff."""
+    m = _fc(spark, sf_dir).model_metrics()
+    return m.select("model", "train_rows", "test_rows", "n_features", "cutoff_date")
+
+
+def q_forecast_keys(spark, sf_dir):
+    """The rows the forest's forecast must have: every product on every day."""
+    return (_fc(spark, sf_dir).forecast().where("predicted_units >= 0 and reorder_flag in (0, 1)")
+            .select("forecast_date", "product_id", "product_name", "category"))
+
+
 # -- model (no SQL oracle: the forest is an iterative algorithm) -------------------
 
 def q_model_metrics(spark, sf_dir):
@@ -314,9 +380,16 @@ QUERIES: dict[str, Query] = {
     # warehouse build
     "dim_date": q_dim_date,
     "dim_products": q_dim_products,
+    "dim_suppliers": q_dim_suppliers,
+    "dim_warehouses": q_dim_warehouses,
     "fact_orders": q_fact_orders,
     "warehouse_roundtrip": q_warehouse_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_suppliers": q_csv_suppliers,
+    "csv_products": q_csv_products,
+    "csv_warehouses": q_csv_warehouses,
+    "csv_inventory": q_csv_inventory,
+    "kpi_export_roundtrip": q_kpi_export_roundtrip,
     "avg_daily_demand": q_avg_daily_demand,
     "stock_ledger": q_stock_ledger,
     "fact_inventory": q_fact_inventory,
@@ -352,6 +425,8 @@ QUERIES: dict[str, Query] = {
     "demand_monthly": q_demand_monthly,
     "demand_top5_month": q_demand_top5_month,
     # forest model and forecast
+    "model_counts": q_model_counts,
+    "forecast_keys": q_forecast_keys,
     "model_metrics": q_model_metrics,
     "test_predictions": q_test_predictions,
     "feature_importance": q_feature_importance,

@@ -9,52 +9,78 @@ for the session, so every report re-uses one fit.
 
 from __future__ import annotations
 
+import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.operators import dims, facts
+from stockflow.operators import facts
 from stockflow.operators import features as feat
 from stockflow.operators import model as mdl
-from stockflow.plans.warehouse import star_schema
+from stockflow.plans.warehouse import StarSchema, star_schema
 from stockflow.session import shared_dir
 from stockflow.sources import testdata
 
+# The first day of the test rows: a setting of the model, not a property of the data.
+FORECAST_CUTOFF = "2001-08-01"
+
 _lock = threading.Lock()
 _registry: dict[tuple, DemandForecast] = {}
 
 
 class DemandForecast:
-    def __init__(self, spark: SparkSession, sf_dir: str, cutoff: str = testdata.FORECAST_CUTOFF,
-                 start: str = testdata.FORECAST_START, horizon: int = 90, num_trees: int = 100,
-                 max_depth: int = 12, min_leaf: int = 5, seed: int = 42, reorder_factor: float = 1.2):
-        self.spark, self.sf_dir = spark, sf_dir
+    """Forecast over fact_orders, dim_date and dim_products frames; ``start`` is
+    the first day to forecast.  ``key`` names the inputs (stored tables go under it)."""
+
+    def __init__(self, fact_orders: DataFrame, dim_date: DataFrame, dim_products: DataFrame, start: str, key: str,
+                 cutoff: str = FORECAST_CUTOFF, horizon: int = mdl.HORIZON, num_trees: int = mdl.NUM_TREES,
+                 max_depth: int = mdl.MAX_DEPTH, min_leaf: int = mdl.MIN_LEAF, seed: int = mdl.SEED,
+                 reorder_factor: float = mdl.REORDER_FACTOR):
+        self.spark = fact_orders.sparkSession
+        self._fact_orders, self._dim_date, self._dim_products = fact_orders, dim_date, dim_products
         self.cutoff, self.start, self.horizon = cutoff, start, horizon
         self.forest_params = dict(num_trees=num_trees, max_depth=max_depth, min_leaf=min_leaf, seed=seed)
         self.reorder_factor = reorder_factor
         self._cache: dict[str, object] = {}
         self._locks: dict[str, threading.RLock] = {}
-        self.root = shared_dir(spark, "forecast", str(abs(hash((sf_dir, cutoff, start, horizon)))))
-
-    # -- inputs (brand grain) --------------------------------------------------
+        digest = hashlib.sha1(f"{key}|{cutoff}|{start}|{horizon}".encode()).hexdigest()[:12]
+        self.root = shared_dir(self.spark, "forecast", digest, uuid.uuid4().hex[:8])
+
+    @classmethod
+    def from_schema(cls, ws: StarSchema, **kw) -> DemandForecast:
+        """The forecast of a warehouse's own products."""
+        return cls(ws.table("fact_orders"), ws.table("dim_date"), ws.table("dim_products"),
+                   kw.pop("start", ws.day_after()), f"products of {ws.source.name}", **kw)
+
+    @classmethod
+    def of_brands(cls, ws: StarSchema, **kw) -> DemandForecast:
+        """The stand-in tables with each brand as a product: a part sells too rarely."""
+        spark, sf_dir = ws.spark, ws.source.sf_dir
+        orders = facts.fact_orders(testdata.brand_orders(spark, sf_dir, ws.raw("orders")))
+        return cls(orders, ws.table("dim_date"), testdata.brand_products(spark, sf_dir),
+                   kw.pop("start", ws.day_after()), f"brands of {ws.source.name}", **kw)
+
+    # -- inputs ------------------------------------------------------------------
     def fact_orders(self) -> DataFrame:
-        def build():
-            landed = star_schema(self.spark, self.sf_dir).raw("orders")
-            return facts.fact_orders(testdata.brand_orders(self.spark, self.sf_dir, landed))
-        return self._memo("fact_orders", build)
+        return self._fact_orders
 
     def dim_date(self) -> DataFrame:
-        return self._memo("dim_date",
-                          lambda: dims.date_dimension(self.spark, testdata.ORDERS_START, testdata.ORDERS_END))
+        return self._dim_date
 
     def dim_products(self) -> DataFrame:
-        return testdata.brand_products(self.spark, self.sf_dir)
+        return self._dim_products
 
     # -- history and features --------------------------------------------------
     def daily(self) -> DataFrame:
-        return self._memo("daily", lambda: feat.daily_demand(self.fact_orders(), self.dim_date(),
-                                                             self.dim_products()))
+        """One row per product and selling day, stored once: the orders are read
+        for it and never again by the encoders or the features."""
+        def build():
+            path = f"{self.root}/daily"
+            feat.daily_demand(self.fact_orders(), self.dim_date(), self.dim_products()).write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+        return self._memo("daily", build)
 
     def encoders(self) -> tuple[DataFrame, DataFrame]:
         def build():
@@ -79,8 +105,7 @@ class DemandForecast:
     def model(self):
         def build():
             train, _ = self.split()
-            cores = self.spark.sparkContext.defaultParallelism
-            return mdl.fit_forest(train.repartition(cores), **self.forest_params)
+            return mdl.fit_forest(train, **self.forest_params)
         return self._memo("model", build)
 
     def test_predictions(self) -> DataFrame:
@@ -155,5 +180,5 @@ def demand_forecast(spark: SparkSession, sf_dir: str, **kw) -> DemandForecast:
     key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
     with _lock:
         if key not in _registry:
-            _registry[key] = DemandForecast(spark, sf_dir, **kw)
+            _registry[key] = DemandForecast.of_brands(star_schema(spark, sf_dir), **kw)
         return _registry[key]

@@ -3,8 +3,8 @@
 Shape shared by all of them: aggregate the fact on its foreign key first
 (partial aggregation before the shuffle, so a hot key is combined map-side),
 then join the *aggregate* — at most one row per dimension member — to the
-dimension.  No fact row is ever joined to or broadcast against a dimension,
-except the calendar, which is bounded by its date range.
+dimension.  No fact row is ever joined to a dimension; whether the
+dimension is broadcast is the planner's choice by its stored size.
 
 Semantics kept from the reference queries:
 
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.numeric import (MONEY, count_where, money_out, round_half_up,
                                          safe_ratio)
-from stockflow.operators.joins import bounded_broadcast, broadcast_calendar
 from stockflow.operators.ranking import global_rank
 
 # Order status labels and the turnover thresholds of the
@@ -45,7 +44,7 @@ def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     by_day = (fact_orders.groupBy("date_id")
               .agg(F.sum("revenue").alias("rev"), F.count("order_id").alias("n"),
                    F.sum("quantity").alias("units")))
-    cal = broadcast_calendar(dim_date.select("date_id", "year", "month", "month_name"))
+    cal = dim_date.select("date_id", "year", "month", "month_name")
     monthly = (by_day.join(cal, "date_id")
                .groupBy("year", "month", "month_name")
                .agg(money_out(F.sum("rev")).alias("revenue"),
@@ -77,7 +76,7 @@ def delivery_rate(fact_orders: DataFrame, dim_warehouses: DataFrame) -> DataFram
                   count_where(_status(DELIVERED)).alias("delivered"),
                   count_where(_status(DELAYED)).alias("delayed"),
                   count_where(_status(CANCELLED)).alias("cancelled")))
-    wh = bounded_broadcast(dim_warehouses.select("warehouse_id", "warehouse_name", "city", "state"))
+    wh = dim_warehouses.select("warehouse_id", "warehouse_name", "city", "state")
     return (by_wh.join(wh, "warehouse_id")
             .select("warehouse_name", "city", "state", "total_orders", "delivered", "delayed", "cancelled",
                     round_half_up(F.col("delivered").cast("double") / F.col("total_orders").cast("double") * 100, 1)
@@ -101,7 +100,8 @@ def supplier_scorecard(fact_orders: DataFrame, dim_products: DataFrame,
                                F.col("on_time_rate").alias("contracted_on_time_rate"),
                                "avg_lead_time_days")
     scored = (by_supplier.join(sup, "supplier_id")
-              .withColumn("delay_rate", F.col("delayed_orders").cast("double") / F.col("n_rows").cast("double")))
+              .withColumn("delay_rate", F.col("delayed_orders").cast("double") / F.col("n_rows").cast("double"))
+              .checkpoint())   # one row per supplier, read twice below
     ranked = global_rank(scored, [("delay_rate", True)], "delay_rank")
     return (ranked.select("supplier_id", "supplier_name", "country", "contracted_on_time_rate",
                           "avg_lead_time_days", "total_orders", "delayed_orders",
@@ -144,14 +144,14 @@ def turnover_columns(units, avg_stock, healthy: float = HEALTHY_TURNOVER, monito
 
 
 def stockouts(fact_inventory: DataFrame, dim_products: DataFrame, dim_warehouses: DataFrame,
-              horizon_days: int = 730, top: int = 20) -> DataFrame:
+              horizon_days: int, top: int = 20) -> DataFrame:
     """KPI 5: the ``top`` product × warehouse pairs with most stock-out days."""
     days = (fact_inventory.where(F.col("stockout_flag") == 1)
             .groupBy("product_id", "warehouse_id")
             .agg(F.count(F.lit(1)).alias("total_stockout_days"))
             .where(F.col("total_stockout_days") > 0))
     j = (days.join(dim_products.select("product_id", "product_name", "category"), "product_id")
-         .join(bounded_broadcast(dim_warehouses.select("warehouse_id", "warehouse_name", "city")),
+         .join(dim_warehouses.select("warehouse_id", "warehouse_name", "city"),
                "warehouse_id"))
     return (j.orderBy(F.col("total_stockout_days").desc(), "product_id", "warehouse_id")
             .limit(top)
@@ -162,7 +162,7 @@ def stockouts(fact_inventory: DataFrame, dim_products: DataFrame, dim_warehouses
 
 def category_quarterly(fact_orders: DataFrame, dim_products: DataFrame, dim_date: DataFrame) -> DataFrame:
     """KPI 6: revenue per category pivoted to quarters (years pooled)."""
-    cal = broadcast_calendar(dim_date.select("date_id", "quarter"))
+    cal = dim_date.select("date_id", "quarter")
     by_pq = (fact_orders.select("date_id", "product_id", "revenue").join(cal, "date_id")
              .groupBy("product_id", "quarter").agg(F.sum("revenue").alias("rev")))
     zero = F.lit(0).cast(MONEY)
@@ -207,7 +207,7 @@ def warehouse_performance(fact_orders: DataFrame, dim_warehouses: DataFrame) ->
                   count_where(_status(DELAYED)).alias("delayed_orders"),
                   count_where(_status(CANCELLED)).alias("cancelled_orders"),
                   count_where(_status(DELIVERED)).alias("delivered")))
-    wh = bounded_broadcast(dim_warehouses.select("warehouse_id", "warehouse_name", "city", "state", "capacity"))
+    wh = dim_warehouses.select("warehouse_id", "warehouse_name", "city", "state", "capacity")
     rev = F.col("rev").cast("double")
     return (by_wh.join(wh, "warehouse_id")
             .select("warehouse_name", "city", "state", "capacity", "total_orders", "total_units",

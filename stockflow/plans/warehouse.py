@@ -1,22 +1,26 @@
-"""Star-schema build: raw inputs → four dimensions and two facts.
+"""Star-schema build: a source of raw tables → four dimensions and two facts.
+
+A source has ``suppliers``, ``products``, ``warehouses`` and ``orders``, and
+either ``inventory`` (daily snapshots, as in a folder of CSV files) or
+``assortment`` (what is stocked where; the stock ledger derives the snapshots).
+Every date range follows from the orders: the calendar and the snapshots run
+from the first order day to the last, the horizon is their number of days.
 
 ``StarSchema.plan(name)`` returns the lazily-defined build of one table (what
 the correctness queries compare); ``StarSchema.table(name)`` materialises it
 once per application as parquet in the shared checkpoint folder and reads it
 back, so downstream queries start from stored rows instead of re-running the
-lineage (and survive executor loss).  Facts are written as they are
-partitioned; ``fact_orders`` keeps row-group statistics on ``date_id``.
+lineage (and survive executor loss).  Landed orders and both facts are
+partitioned by year, so a filter on the year prunes folders.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 import threading
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import date_key
@@ -27,64 +31,59 @@ from stockflow.sources import testdata
 TABLES = ["raw_orders", "dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders",
           "raw_inventory", "fact_inventory"]
 
-# The raw daily snapshots are stored bucketed by product_id: the ledger writes
-# them hash-partitioned on product_id into exactly the bucket count, so every
-# task writes one bucket file, and the fact build's demand lookup can join
-# without shuffling the snapshots when the lookup is too big to broadcast.
-# (fact_inventory stays plain parquet: measured at sf0.1, bucketing it cost
-# a sort per write for no gain, as its readers aggregate partially anyway.)
-BUCKETED = {"raw_inventory"}
+# The year of a row, by which these tables are stored.
+YEAR = "__year"
+BY_YEAR = {"raw_orders", "raw_inventory", "fact_orders", "fact_inventory"}
 
 _lock = threading.Lock()
 _registry: dict[tuple, StarSchema] = {}
 
 
 class StarSchema:
-    def __init__(self, spark: SparkSession, sf_dir: str, horizon_days: int = 730,
-                 calendar: tuple[str, str] = (testdata.ORDERS_START, testdata.ORDERS_END),
-                 inventory_window: tuple[str, str] = (testdata.INVENTORY_START, testdata.INVENTORY_END)):
-        self.spark = spark
-        self.sf_dir = sf_dir
-        self.horizon_days = horizon_days
-        self.calendar = calendar
-        self.inventory_window = inventory_window
-        self._tables: dict[str, DataFrame] = {}
-        self._plans: dict[str, DataFrame] = {}
-        self._build_locks: dict[str, threading.Lock] = {}
-        self._values: dict[str, int] = {}
-        key = hashlib.sha1(f"{sf_dir}|{horizon_days}|{calendar}|{inventory_window}".encode()).hexdigest()[:12]
-        self.key = key
+    def __init__(self, spark: SparkSession, source):
+        self.spark, self.source = spark, source
+        self._values: dict[str, object] = {}
+        self._locks: dict[str, threading.RLock] = {}
+        key = hashlib.sha1(str(source.name).encode()).hexdigest()[:12]
         self.root = shared_dir(spark, "warehouse", key)
 
-    # -- raw (stand-in) inputs -------------------------------------------------
+    # -- date ranges -------------------------------------------------------------
+    def order_days(self) -> tuple[date, date]:
+        """First and last order day: one aggregate over the landed orders."""
+        def build():
+            first, last = self.raw("orders").agg(F.min(F.to_date("order_date")), F.max(F.to_date("order_date"))).first()
+            if first is None:
+                raise ValueError(f"{self.source.name}: no dated order, so the calendar has no range")
+            return first, last
+        return self._memo("days", build)
+
+    @property
+    def horizon_days(self) -> int:
+        first, last = self.order_days()
+        return (last - first).days + 1
+
+    def day_after(self) -> str:
+        return (self.order_days()[1] + timedelta(days=1)).isoformat()
+
+    # -- raw inputs ----------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
-        """Raw inputs.  Orders are landed once as parquet (the reference lands
-        CSV files) so every consumer reads stored rows, not the stand-in join."""
-        s, d = self.spark, self.sf_dir
-        if name == "suppliers":
-            return testdata.raw_suppliers(s, d)
-        if name == "products":
-            return testdata.raw_products(s, d)
-        if name == "warehouses":
-            return testdata.raw_warehouses(s, d)
+        """Raw inputs.  Orders are landed once as parquet, so every consumer reads
+        stored rows."""
         if name == "orders":
             return self.table("raw_orders")
-        if name == "assortment":
-            return testdata.stocked_assortment(s, d, self.raw("orders"))
-        raise KeyError(name)
+        if name == "inventory":
+            return self.table("raw_inventory")
+        return self._memo(f"raw {name}", getattr(self.source, name))
 
-    # -- build plans -----------------------------------------------------------
+    # -- build plans -----------------------------------------------------------------
     def plan(self, name: str) -> DataFrame:
-        with _lock:
-            if name in self._plans:
-                return self._plans[name]
-        df = self._build_plan(name)
-        with _lock:
-            return self._plans.setdefault(name, df)
+        return self._memo(f"plan {name}", lambda: self._build_plan(name))
 
     def _build_plan(self, name: str) -> DataFrame:
+        if name == "raw_orders":
+            return self.source.orders()
         if name == "dim_date":
-            return dims.date_dimension(self.spark, *self.calendar)
+            return dims.date_dimension(self.spark, *[d.isoformat() for d in self.order_days()])
         if name == "dim_suppliers":
             return dims.supplier_dimension(self.raw("suppliers"))
         if name == "dim_products":
@@ -94,91 +93,58 @@ class StarSchema:
         if name == "fact_orders":
             return facts.fact_orders(self.raw("orders"))
         if name == "raw_inventory":
-            start, end = self.inventory_window
-            return ledger.stock_ledger(self.assortment(), self.raw("orders"), start, end,
-                                       partitions=self.snapshot_buckets())
-        if name == "raw_orders":
-            return testdata.raw_orders(self.spark, self.sf_dir)
+            if hasattr(self.source, "inventory"):
+                return self.source.inventory()
+            first, last = (d.isoformat() for d in self.order_days())
+            return ledger.stock_ledger(self.source.assortment(self.raw("orders")), self.raw("orders"), first, last)
         if name == "fact_inventory":
             demand = facts.avg_daily_demand(self.raw("orders"), self.horizon_days)
-            return facts.fact_inventory(self.table("raw_inventory"), demand)
+            return facts.fact_inventory(self.raw("inventory"), demand)
         raise KeyError(name)
 
-    # -- snapshot layout -------------------------------------------------------
-    def assortment(self) -> DataFrame:
-        """The stocked pairs, checkpointed once (they size the ledger)."""
-        with _lock:
-            if "assortment" in self._plans:
-                return self._plans["assortment"]
-        a = self.raw("assortment").checkpoint(eager=True)
-        with _lock:
-            return self._plans.setdefault("assortment", a)
-
-    def snapshot_buckets(self) -> int:
-        """Hash partitions of the ledger = buckets of both snapshot tables, so
-        each ledger task writes exactly one bucket file."""
-        with _lock:
-            if "buckets" in self._values:
-                return self._values["buckets"]
-        start, end = self.inventory_window
-        n_days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
-        floor = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        n = ledger.ledger_partitions(self.assortment().count(), n_days, floor=floor)
-        with _lock:
-            return self._values.setdefault("buckets", n)
-
-    def _write_bucketed(self, df: DataFrame, name: str, path: str) -> DataFrame:
-        """Store ``df`` bucketed by product (external table in the shared
-        folder): joins and aggregations on product then read it without an
-        exchange.  Falls back to plain parquet if the catalog refuses."""
-        app = re.sub(r"[^0-9A-Za-z]", "_", self.spark.sparkContext.applicationId or "app")
-        table = f"stockflow_{app}_{self.key}_{name}"
-        try:
-            (df.write.mode("overwrite").bucketBy(self.snapshot_buckets(), "product_id")
-               .option("path", path).saveAsTable(table))
-            return self.spark.table(table)
-        except AnalysisException:
-            df.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
-
-    # -- materialised tables ---------------------------------------------------
+    # -- materialised tables -----------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        with _lock:
-            if name in self._tables:
-                return self._tables[name]
-            build_lock = self._build_locks.setdefault(name, threading.Lock())
-        with build_lock:   # one writer per table, even with concurrent callers
-            with _lock:
-                if name in self._tables:
-                    return self._tables[name]
-            return self._materialize(name)
+        return self._memo(f"table {name}", lambda: self._materialize(name))
 
     def _materialize(self, name: str) -> DataFrame:
         df = self.plan(name)
-        columns = df.columns
-        derived = "inventory_id" in columns
+        columns, schema = df.columns, df.schema
+        # The ledger's snapshot id is a function of (product, warehouse, date):
+        # store the natural key only and derive the id on read.
+        derived = "inventory_id" in columns and not hasattr(self.source, "inventory")
         if derived:
-            # The snapshot id is a function of (product, warehouse, date):
-            # store the natural key only and derive the id on read.
             df = df.drop("inventory_id")
         path = f"{self.root}/{name}"
-        if name in BUCKETED:
-            stored = self._write_bucketed(df, name, path)
+        if name in BY_YEAR:
+            day = "order_date" if name == "raw_orders" else "date"
+            year = F.year(F.to_date(F.col(day))) if name.startswith("raw") else F.floor(F.col("date_id") / 10000).cast("int")
+            df.withColumn(YEAR, year).write.mode("overwrite").partitionBy(YEAR).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
-            stored = self.spark.read.parquet(path)
+        stored = self.spark.read.parquet(path)
         if derived:
             key = date_key("date") if "date" in stored.columns else F.col("date_id")
-            stored = (stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", key))
-                            .select(*columns))
+            stored = stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", key))
+        return stored.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in columns])
+
+    def _memo(self, key: str, build):
         with _lock:
-            self._tables[name] = stored
-        return stored
+            if key in self._values:
+                return self._values[key]
+            key_lock = self._locks.setdefault(key, threading.RLock())
+        with key_lock:   # one build per key, even with concurrent callers
+            with _lock:
+                if key in self._values:
+                    return self._values[key]
+            value = build()
+            with _lock:
+                return self._values.setdefault(key, value)
 
 
-def star_schema(spark: SparkSession, sf_dir: str, **kw) -> StarSchema:
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+def star_schema(spark: SparkSession, sf_dir: str) -> StarSchema:
+    """The star schema over the test tables of ``sf_dir``, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _registry:
-            _registry[key] = StarSchema(spark, sf_dir, **kw)
+            _registry[key] = StarSchema(spark, testdata.TestTables(spark, sf_dir))
         return _registry[key]

@@ -1,6 +1,9 @@
 """Readers and writers: CSV in/out with headers, parquet warehouse tables.
 
-* ``read_raw``      — CSV with header and an explicit schema (no inference).
+* ``read_raw``      — CSV with header and an explicit schema (no inference);
+  columns are bound by the names in the header, in any order, extra columns are
+  ignored and missing ones are an error.
+* ``CsvFolder``     — the five raw CSV files of a warehouse as a source.
 * ``write_csv``     — CSV with header, no index column, overwrite.
 * ``write_table``   — replace-if-exists table write (parquet), optional
   ``partitionBy``; the replacement of the reference's ``to_sql(replace)``.
@@ -13,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.sources.schemas import RAW_SCHEMAS
@@ -24,14 +28,50 @@ def read_raw(spark: SparkSession, path: str, table: str | None = None,
         if table not in RAW_SCHEMAS:
             raise KeyError(f"no schema for raw table {table!r}; pass schema=")
         schema = RAW_SCHEMAS[table]
-    return (spark.read.schema(schema)
+    header = spark.read.option("header", True).csv(path).columns   # reads one line
+    types = {f.name: f.dataType for f in schema.fields}
+    if missing := [c for c in types if c not in header]:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    if len(set(header)) != len(header):
+        raise ValueError(f"{path} repeats a column name: {header}")
+    as_filed = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    return (spark.read.schema(as_filed)
             .option("header", True)
+            .option("enforceSchema", False)   # every file's header must agree
             .option("mode", "FAILFAST")
-            .csv(path))
+            .csv(path)
+            .select(*types))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite")
+class CsvFolder:
+    """suppliers.csv, products.csv, warehouses.csv, orders.csv, inventory.csv
+    (files or folders of files) as a source of the star schema."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.name = spark, folder.rstrip("/"), folder
+
+    def _read(self, table: str) -> DataFrame:
+        return read_raw(self.spark, f"{self.folder}/{table}.csv", table)
+
+    def suppliers(self) -> DataFrame:
+        return self._read("suppliers")
+
+    def products(self) -> DataFrame:
+        return self._read("products")
+
+    def warehouses(self) -> DataFrame:
+        return self._read("warehouses")
+
+    def orders(self) -> DataFrame:
+        return self._read("orders")
+
+    def inventory(self) -> DataFrame:
+        return self._read("inventory").withColumn("date", F.to_date("date"))
+
+
+def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """``single`` puts a small report into one file of the folder."""
+    ((df.coalesce(1) if single else df).write.mode("overwrite")
        .option("header", True)
        .csv(path))
 

@@ -14,6 +14,8 @@ Mapping (one row per source row, except the brand-grain product table):
   warehouse is the customer's region, status comes from the return flag
 * observed (product, warehouse) pairs ⋈ part → stocked assortment with an
   initial stock and a fortnightly restock quantity (ledger input)
+* ``l_orderkey`` repeats on every line of an order, so ``order_id`` is no key here
+  (the reference numbers every order row); nothing joins on it
 * brand grain for the forecast: at these scales a part sells ~30 times in
   seven years, so the forecast treats each brand as a product
 """
@@ -25,15 +27,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed calendar of the stand-in data (test tables ship 1995-01-02..2001-11-04).
-ORDERS_START = "1995-01-01"
-ORDERS_END = "2001-12-31"
-INVENTORY_START = "1997-01-01"
-INVENTORY_END = "1998-12-31"   # exactly 730 days: horizon_days=730 holds
-FORECAST_CUTOFF = "2001-08-01"
-FORECAST_START = "2001-11-05"  # the day after the last order
-
-
 @lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one test table (the DataFrame is reused; plans are immutable)."""
@@ -54,6 +47,8 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(s.s_suppkey.alias("supplier_id"),
                      s.s_name.alias("supplier_name"),
                      n.n_name.alias("country"),
+                     F.concat(F.lit("sales@"), F.lower(F.regexp_replace(s.s_name, "[^A-Za-z0-9]+", "-")),
+                              F.lit(".example.com")).alias("contact_email"),
                      ((F.lit(65) + s.s_suppkey % 35).cast("double") / 100).alias("on_time_rate"),
                      (F.lit(5) + s.s_suppkey % 24).cast("int").alias("avg_lead_time_days")))
 
@@ -151,3 +146,28 @@ def brand_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("Cat"),
                               (F.substring("p_brand", 7, 8).cast("int") % 5).cast("string")).alias("category"),
                      F.col("base_demand").cast("double").alias("base_demand")))
+
+
+class TestTables:
+    """The stand-in inputs as a source of the star schema."""
+
+    __test__ = False   # not a pytest class
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.name = spark, sf_dir, sf_dir
+
+    def suppliers(self) -> DataFrame:
+        return raw_suppliers(self.spark, self.sf_dir)
+
+    def products(self) -> DataFrame:
+        return raw_products(self.spark, self.sf_dir)
+
+    def warehouses(self) -> DataFrame:
+        return raw_warehouses(self.spark, self.sf_dir)
+
+    def orders(self) -> DataFrame:
+        return raw_orders(self.spark, self.sf_dir)
+
+    def assortment(self, orders: DataFrame) -> DataFrame:
+        """What is stocked where; the ledger turns it into daily snapshots."""
+        return stocked_assortment(self.spark, self.sf_dir, orders)
