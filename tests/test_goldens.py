@@ -3,9 +3,9 @@ operators from the published base columns (rows copied as literals)."""
 
 from pyspark.sql import functions as F
 
-from stockflow.functions import rate_pct, round_half_up
+from stockflow.functions import round_half_up
 from stockflow.operators.ranking import global_rank
-from stockflow.plans.kpis import add_mom_change, turnover_columns
+from stockflow.plans.kpis import add_mom_change, delivery_rate, turnover_columns
 
 # Published KPI 1 rows (year, month, revenue) and the expected lag / MoM %.
 KPI1 = [(2023, 1, 1006522.9, None, None), (2023, 2, 1010276.97, 1006522.9, 0.4),
@@ -47,6 +47,8 @@ def test_kpi2_rate(spark):
     rows = []
     for i, (total, delivered, _) in enumerate(KPI2):
         rows += [(i, "Delivered")] * delivered + [(i, "Delayed")] * (total - delivered)
-    df = spark.createDataFrame(rows, "w int, status string")
-    got = {r.w: r.pct for r in df.groupBy("w").agg(rate_pct(F.col("status") == "Delivered").alias("pct")).collect()}
+    df = spark.createDataFrame(rows, "warehouse_id int, status string")
+    wh = spark.createDataFrame([(i, f"w{i}", "c", "s") for i in range(len(KPI2))],
+                               "warehouse_id int, warehouse_name string, city string, state string")
+    got = {int(r.warehouse_name[1:]): r.on_time_rate_pct for r in delivery_rate(df, wh).collect()}
     assert got == {i: p for i, (_, _, p) in enumerate(KPI2)}

@@ -2,6 +2,8 @@
 published outputs: the same revenue total in KPI 1, 3, 6, 8; the same order
 count in KPI 1, 2, 3; KPI 7's units equal KPI 4's)."""
 
+from datetime import date
+
 import pytest
 
 from tests.conftest import SF0001
@@ -54,5 +56,24 @@ def test_row_counts_and_ledger(q):
     load = q("load_summary")[0]
     assert counts["fact_orders"] == load.order_rows
     assert counts["fact_inventory"] == load.inventory_rows
-    assert counts["dim_date"] == 2557
-    assert load.inventory_rows % 730 == 0     # every stocked pair has 730 daily snapshots
+    days = q("dim_date")
+    first, last = min(r.full_date for r in days), max(r.full_date for r in days)
+    n_days = (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
+    assert counts["dim_date"] == len(days) == n_days
+    assert load.inventory_rows % n_days == 0     # every stocked pair has a snapshot on every day of the orders
+
+
+def test_ledger_reads_every_order(spark):
+    """Units that reach the ledger are all units ordered, on every day there is."""
+    from pyspark.sql import functions as F
+
+    from stockflow.operators.ledger import daily_units
+    from stockflow.plans.warehouse import star_schema
+
+    ws = star_schema(spark, SF0001)
+    first, last = (d.isoformat() for d in ws.order_days())
+    orders = ws.raw("orders")
+    pairs = ws.source.assortment(orders).select("product_id", "warehouse_id")
+    into = daily_units(orders, first, last).join(pairs, ["product_id", "warehouse_id"]).agg(F.sum("sold")).first()[0]
+    assert into == orders.agg(F.sum("quantity")).first()[0]
+    assert ws.plan("dim_date").agg(F.min("full_date"), F.max("full_date")).first() == (first, last)

@@ -3,7 +3,7 @@
 import contextlib
 import io
 
-from stockflow.operators.joins import bounded_broadcast, lookup_join, row_width
+from stockflow.operators.joins import bounded_broadcast, row_width
 
 
 def _plan(df):
@@ -18,10 +18,10 @@ def test_broadcast_only_under_bounds(spark):
     try:
         big = spark.range(2000).withColumnRenamed("id", "k")
         small = spark.range(50).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(lookup_join(big, small, "k", max_rows=100))
-        assert "BroadcastHashJoin" not in _plan(lookup_join(big, small, "k", max_rows=10))
+        assert "BroadcastHashJoin" in _plan(big.join(bounded_broadcast(small, max_rows=100), "k"))
+        assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, max_rows=10), "k"))
         # byte bound: 50 rows × row width over the limit -> no broadcast
         assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, max_bytes=50 * row_width(small) - 1), "k"))
-        assert lookup_join(big, small, "k", max_rows=10).count() == 50
+        assert big.join(bounded_broadcast(small, max_rows=10), "k").count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
