@@ -135,13 +135,27 @@ def q_avg_daily_demand(spark, sf_dir):
     return facts.avg_daily_demand(ws.raw("orders"), ws.horizon_days)
 
 
+def _by_month(daily: DataFrame, month, day, *more) -> DataFrame:
+    """Daily snapshots as one row per stocked pair and month, with sums that
+    change if any day's row does (the days number some 25 million at sf0.01)."""
+    return (daily.groupBy("product_id", "warehouse_id", month.cast("int").alias("month"))
+            .agg(F.count(F.lit(1)).alias("n_days"), F.min("inventory_id").alias("first_id"), F.max("inventory_id").alias("last_id"),
+                 F.sum("stock_level").alias("stock"), F.sum(F.col("stock_level") * day).alias("stock_by_day"),
+                 F.min("stock_level").alias("least_stock"), F.sum("restock_qty").alias("restocked"),
+                 F.sum(F.col("restock_qty") * day).alias("restocked_by_day"), *more))
+
+
 def q_stock_ledger(spark, sf_dir):
     inv = _ws(spark, sf_dir).plan("raw_inventory")
-    return inv.withColumn("date", iso_date("date"))
+    return _by_month(inv, F.year("date") * 100 + F.month("date"), F.dayofmonth("date"))
 
 
 def q_fact_inventory(spark, sf_dir):
-    return _ws(spark, sf_dir).plan("fact_inventory")
+    fi = _ws(spark, sf_dir).plan("fact_inventory")
+    supply = F.col("days_of_supply").cast("decimal(18,1)")
+    day = F.col("date_id") % 100
+    return _by_month(fi, F.floor(F.col("date_id") / 100), day, F.sum("stockout_flag").cast("bigint").alias("stockout_days"),
+                     F.sum(supply).cast("double").alias("days_of_supply"), F.sum(supply * day).cast("double").alias("days_of_supply_by_day"))
 
 
 # -- KPIs ----------------------------------------------------------------------
