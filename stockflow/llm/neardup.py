@@ -16,11 +16,11 @@ with probability (1 - 0.75 x 0.9375^d)^12: 6e-8 at the root, 1e-5 at depth 3.
 Nodes are pairs of numbers until classes meet; sketches join them only then.
 
 Comparison has two rounds, so that groups of copies are never expanded into
-pairs.  The first proposes, in each node, links to leaders only; these are
-verified and give components.  The second proposes every pair of a node whose
-ends are still in different components.  A proposal needs AGREE of 64 equal
-tokens (more than five standard deviations below the threshold); links are then
-verified on full sets of shingles.
+pairs.  The first proposes, in each node, links to leaders, where tokens make a
+link likely; these are verified and give components.  The second proposes every
+pair of a node whose ends are still in different components, if AGREE of 256
+tokens are equal (almost five standard deviations below the threshold); links
+are then verified on full sets of shingles.
 
 Null text or text without words: empty set, linked with nothing, its own
 component.  Repeated rows: one class.  Null doc_id: takes part; a component's id
@@ -44,10 +44,10 @@ from stockflow.operators.joins import bounded_broadcast
 
 SHINGLE = 5
 PERCENT = 75
-TOKENS, TREES, BRANCHES = 64, 12, 2
+TOKENS, TREES, BRANCHES = 256, 12, 2
 LIMIT, MAX_DEPTH = 256, 6
-AGREE = 30
-ALIKE = 52   # equal tokens that make a class follow a leader rather than lead
+AGREE = 159
+LIKELY = 184   # equal tokens that make a class follow a leader, and a link worth trying first
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, TREES + TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, TREES + TOKENS, dtype=np.uint64)
@@ -55,15 +55,15 @@ _B = _RNG.integers(0, 1 << 63, TREES + TOKENS, dtype=np.uint64)
 
 def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Minwise tokens of non-empty sets: sets x TREES (32 bits, one for each
-    tree's root) and sets x TOKENS (16 bits, to branch inside a node and to compare)."""
+    tree's root) and sets x TOKENS (8 bits, to branch inside a node and to compare)."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    roots, tokens = np.empty((len(sets), TREES), dtype="<u4"), np.empty((len(sets), TOKENS), dtype="<u2")
+    roots, tokens = np.empty((len(sets), TREES), dtype="<u4"), np.empty((len(sets), TOKENS), dtype=np.uint8)
     for k in range(TREES + TOKENS):
         least = np.minimum.reduceat((flat * _A[k] + _B[k]) >> np.uint64(32), starts)
         if k < TREES:
             roots[:, k] = least
         else:
-            tokens[:, k - TREES] = mix(least)
+            tokens[:, k - TREES] = mix(least) >> np.uint64(56)
     return roots, tokens
 
 
@@ -115,14 +115,14 @@ def leaves(reps: DataFrame) -> DataFrame:
         big = stored(big.join(reps.select("cls", "tokens"), "cls"), "big")
         heads = big.where("cls = first").select("node", F.col("tokens").alias("head"))
         # Equal tokens with the node's first class, over the last 16.
-        token = lambda c, k: F.substr(F.col(c), F.lit(2 * k + 1), F.lit(2))
+        token = lambda c, k: F.substr(F.col(c), F.lit(k + 1), F.lit(1))
         same = sum((token("tokens", k) == token("head", k)).cast("int") for k in range(TOKENS - 16, TOKENS))
         tight = big.join(heads, "node").groupBy("node").agg(F.avg((same >= 10).cast("int")).alias("tight"))
         tight = stored(tight, "tight")
         out = out.unionByName(big.join(tight.where("tight >= 0.5"), "node", "left_semi").select(*rows.columns))
         loose = big.join(tight.where("tight < 0.5"), "node", "left_semi")
         step = [F.pmod(F.xxhash64("node", F.lit(b)), F.lit(TOKENS)).cast("int") for b in range(BRANCHES)]
-        rows = _nodes(loose, "tokens", 2, F.array_distinct(F.array(*step)))
+        rows = _nodes(loose, "tokens", 1, F.array_distinct(F.array(*step)))
         out = out.unionByName(rows.where(F.col("size") <= LIMIT))
     return out.unionByName(rows.where(F.col("size") > LIMIT))
 
@@ -148,16 +148,15 @@ def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
             left = np.arange(len(cls))
             while len(left) > 1:
                 lead, left = left[0], left[1:]
-                agree = (t[left] == t[lead]).sum(axis=1)
-                hit = left[agree >= AGREE]
-                yield np.full(len(hit), cls[lead]), cls[hit]
-                left = left[agree < ALIKE]
+                likely = (t[left] == t[lead]).sum(axis=1) >= LIKELY
+                yield np.full(likely.sum(), cls[lead]), cls[left[likely]]
+                left = left[~likely]
 
     def nodes(node: np.ndarray, cls: np.ndarray, t: np.ndarray, root: np.ndarray | None) -> pa.RecordBatch:
         cuts = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
         size = np.diff(np.append(cuts, len(node)))
         two = cuts[size == 2]
-        fit = two[(t[two] == t[two + 1]).sum(axis=1) >= AGREE] if len(two) else two
+        fit = two[(t[two] == t[two + 1]).sum(axis=1) >= (LIKELY if root is None else AGREE)] if len(two) else two
         if root is not None and len(fit):
             fit = fit[root[fit] != root[fit + 1]]
         found = [(cls[fit], cls[fit + 1])]
@@ -172,7 +171,7 @@ def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
             if not batch.num_rows:
                 continue
             new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(),
-                   np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u2").reshape(-1, TOKENS),
+                   np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, TOKENS),
                    batch.column(3).to_numpy() if roots else None]
             if held is not None:
                 new = [None if x is None else np.concatenate((h, x)) for h, x in zip(held, new, strict=True)]
