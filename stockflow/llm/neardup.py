@@ -17,10 +17,12 @@ Nodes are pairs of numbers until classes meet; sketches join them only then.
 
 Comparison has two rounds, so that groups of copies are never expanded into
 pairs.  The first proposes, in each node, links to leaders, where tokens make a
-link likely; these are verified and give components.  The second proposes every
-pair of a node whose ends are still in different components, if AGREE of 256
-tokens are equal (almost five standard deviations below the threshold); links
-are then verified on full sets of shingles.
+link likely; these are verified and give components.  The second looks at every
+pair of a node whose ends are still in different components and marks both ends
+if AGREE of 256 tokens are equal (almost five standard deviations below the
+threshold).  The marked classes of a node then meet with their full sets, all
+intersections are counted at once, and each class is tied to the least one it
+reaches: a task returns at most a row a class, never the pairs.
 
 Null text or text without words: empty set, linked with nothing, its own
 component.  Repeated rows: one class.  Null doc_id: takes part; a component's id
@@ -47,6 +49,7 @@ PERCENT = 75
 TOKENS, TREES, BRANCHES = 256, 12, 2
 LIMIT, MAX_DEPTH = 256, 6
 AGREE = 159
+COLUMNS = 4096   # shingles at a time when a node's intersections are counted
 LIKELY = 184   # equal tokens that make a class follow a leader, and a link worth trying first
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, TREES + TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,14 +139,18 @@ def _blocked(rows: DataFrame) -> DataFrame:
 
 
 def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
-    """Proposed links inside nodes.  ``rows``: node, cls and, in the second
-    round, root; a node is small, so a task holds one at a time."""
-    def links(cls: np.ndarray, t: np.ndarray, root: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Inside nodes: proposed links (a, b) to leaders, or in the second round
+    (``rows`` have a root) the marked classes as (node, cls).  A node is small,
+    so a task holds one at a time."""
+    def links(node: int, cls: np.ndarray, t: np.ndarray, root: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if root is not None:
+            marked = np.zeros(len(cls), dtype=bool)
             for k in range(len(cls) - 1):
                 other = k + 1 + np.flatnonzero(root[k + 1:] != root[k])
                 hit = other[(t[other] == t[k]).sum(axis=1) >= AGREE]
-                yield np.full(len(hit), cls[k]), cls[hit]
+                marked[hit] = True
+                marked[k] |= len(hit) > 0
+            yield np.full(marked.sum(), node), cls[marked]
         else:
             left = np.arange(len(cls))
             while len(left) > 1:
@@ -159,9 +166,12 @@ def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
         fit = two[(t[two] == t[two + 1]).sum(axis=1) >= (LIKELY if root is None else AGREE)] if len(two) else two
         if root is not None and len(fit):
             fit = fit[root[fit] != root[fit + 1]]
-        found = [(cls[fit], cls[fit + 1])]
+        if root is None:
+            found = [(cls[fit], cls[fit + 1])]
+        else:
+            found = [(np.repeat(node[fit], 2), np.column_stack((cls[fit], cls[fit + 1])).ravel())]
         for s, n in zip(cuts[size > 2], size[size > 2], strict=True):
-            found += links(cls[s:s + n], t[s:s + n], None if root is None else root[s:s + n])
+            found += links(node[s], cls[s:s + n], t[s:s + n], None if root is None else root[s:s + n])
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -184,15 +194,64 @@ def _compare(rows: DataFrame, reps: DataFrame, roots: bool) -> DataFrame:
 
     columns = ["node", "cls", "tokens", *(["root"] if roots else [])]
     rows = rows.join(reps.select("cls", "tokens"), "cls")
-    return (rows.select(*columns).repartition("node").sortWithinPartitions("node", "cls")
-            .mapInArrow(run, "a long, b long").where("a <> b")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    out = rows.select(*columns).repartition("node").sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long")
+    if roots:
+        return out.select(F.col("a").alias("node"), F.col("b").alias("cls"))
+    return out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _ties(members: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the least index it reaches over links between the sets."""
+    size, flat = np.array(list(map(len, members))), np.concatenate(members)
+    owner = np.repeat(np.arange(len(members)), size)
+    _, column, uses = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = uses[column] > 1   # a shingle of one set adds to no intersection
+    _, column = np.unique(column[shared], return_inverse=True)
+    owner, order = owner[shared], np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(members), len(members)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, z = np.searchsorted(column, (first, first + COLUMNS))
+        block = np.zeros((len(members), COLUMNS), dtype=np.float32)
+        block[owner[a:z], column[a:z] - first] = 1
+        both += block @ block.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (size[:, None] + size - both)
+    np.fill_diagonal(linked, True)
+    least = np.arange(len(members))
+    while True:
+        after = np.where(linked, least, len(members)).min(axis=1)
+        if (after == least).all():
+            return least
+        least = after
+
+
+def exact(marked: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b) ties among the marked classes of each node, on their full sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, held = None, []
 
+        def tied() -> pa.RecordBatch:
+            least = _ties([np.frombuffer(m, dtype=np.uint64) for _, m in held], percent)
+            rows = [(held[k][0], held[j][0]) for k, j in enumerate(least) if k != j]
+            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in (0, 1)], names=["a", "b"])
 
-def verified(docs: DataFrame, reps: DataFrame, proposed: DataFrame, percent: int = PERCENT,
-             size: int = SHINGLE) -> DataFrame:
-    """The proposed links (a, b) whose full sets pass."""
-    ends = proposed.select(F.col("a").alias("cls")).union(proposed.select(F.col("b").alias("cls"))).distinct()
+        for batch in batches:
+            for n, c, m in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if n != node and held:
+                    yield tied()
+                    held = []
+                node = n
+                held.append((c, m))
+        if held:
+            yield tied()
+
+    rows = marked.join(members, "cls").select("node", "cls", "members")
+    return rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long").distinct()
+
+
+def full_sets(docs: DataFrame, reps: DataFrame, ends: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(cls, members): the sorted shingle hashes of the classes in ``ends``."""
     wanted = stored(reps.join(ends, "cls").select("cls", "rep", F.col("rep").isNull().alias("no_id")), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +271,15 @@ def verified(docs: DataFrame, reps: DataFrame, proposed: DataFrame, percent: int
         texts = texts.unionByName(d.where("doc_id is null").select("text"))
     members = (texts.mapInArrow(sets, "f1 long, f2 long, n long, members binary")
                .select(F.xxhash64("f1", "f2", "n").alias("cls"), "members").dropDuplicates(["cls"]))
-    members = stored(members.join(wanted.select("cls"), "cls", "left_semi"), "sets")
+    return stored(members.join(wanted.select("cls"), "cls", "left_semi"), "sets")
+
+
+def verified(docs: DataFrame, reps: DataFrame, proposed: DataFrame, percent: int = PERCENT,
+             size: int = SHINGLE) -> DataFrame:
+    """The proposed links (a, b) whose full sets pass."""
+    ends = proposed.select(F.col("a").alias("cls")).union(proposed.select(F.col("b").alias("cls"))).distinct()
+    members = full_sets(docs, reps, ends, size)
+
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,11 +311,10 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
               .withColumn("root", F.coalesce("root", "cls")))
     mixed = rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("node")
     rooted = stored(rooted.join(mixed, "node", "left_semi"), "mixed")
-    more = _compare(_across(rooted), reps, roots=True).join(proposed, ["a", "b"], "left_anti")
-    more = stored(more, "proposed")
-    if not more.isEmpty():
-        links = links.unionByName(verified(docs, reps, more, percent, size))
-        roots = stored(components(links), "roots")
+    marked = stored(_compare(_across(rooted), reps, roots=True), "marked")
+    if not marked.isEmpty():
+        ties = exact(marked, full_sets(docs, reps, marked.select("cls").distinct(), size), percent)
+        roots = stored(components(links.unionByName(ties)), "roots")
 
     by_class = reps.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     ids = by_class.groupBy("root").agg(F.min("rep").alias("component_id"))
