@@ -7,7 +7,7 @@ are made equally long.  (Dictionaries that the library's own trainer picks
 spend their bytes on what both classes share; the differences then drown in
 noise.)  Each window of a text (some words, lower-cased, punctuation as spaces)
 is compressed with either; what the toxic dictionary saves is the distance.
-Totals and extremes of the savings are calibrated to a probability by a
+The savings per length and the two largest are calibrated to a probability by a
 logistic fit on labelled documents that no dictionary has seen.
 
 Labels come from a bounded sample: at most SAMPLE_DOCS documents of each class
@@ -37,7 +37,7 @@ SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 GRAM = 5
 # A toxic n-gram: in so many sampled toxic documents, and so much likelier there (natural log of the ratio).
-LEAST_DOCS, LEAST_ODDS = 5, 1.9
+LEAST_DOCS, LEAST_ODDS = 5, 2.6
 DICTIONARY_BYTES = 16_384
 # Words in a window.
 WINDOW = 24
@@ -111,9 +111,8 @@ class Scorer:
     def features(self, text: str | None) -> list[float]:
         parts = windows(words(text))
         saved = np.array([len(self.ordinary(w)) - len(self.toxic(w)) for w in parts], dtype=float)
-        total, best = saved.sum(), np.sort(saved)[-2:]
-        return [1.0, np.sqrt(max(total, 0)), 100 * total / (sum(map(len, parts)) + 200),
-                np.log1p(max(best[-1], 0)), np.log1p(max(best[0], 0)), float((saved >= 3).mean())]
+        best = np.sort(saved)[-2:]
+        return [1.0, 100 * saved.sum() / (sum(map(len, parts)) + 200), np.log1p(max(best[-1], 0)), np.log1p(max(best[0], 0))]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if not len(texts):
