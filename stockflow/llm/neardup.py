@@ -47,7 +47,7 @@ from stockflow.operators.joins import bounded_broadcast
 SHINGLE = 5
 PERCENT = 75
 TOKENS, TREES, BRANCHES = 256, 12, 2
-LIMIT, MAX_DEPTH = 256, 6
+LIMIT, MAX_DEPTH = 512, 6
 AGREE = 159
 COLUMNS = 4096   # shingles at a time when a node's intersections are counted
 LIKELY = 184   # equal tokens that make a class follow a leader, and a link worth trying first
@@ -102,6 +102,7 @@ def _nodes(rows: DataFrame, column: str, width: int, positions: Column) -> DataF
     one class are gone, the others have their size and least class."""
     token = F.substr(F.col(column), F.col("p") * width + 1, F.lit(width))
     below = rows.withColumn("p", F.explode(positions)).select(F.xxhash64("node", "p", token).alias("node"), "cls")
+    below = stored(below, "below")   # pairs of numbers, read twice
     sizes = below.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("first")).where("size > 1")
     return stored(below.join(sizes, "node"), "nodes")
 
