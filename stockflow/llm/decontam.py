@@ -1,16 +1,15 @@
 """Benchmark passages in documents by q-gram lemma filtering (operator 6).
 
 Texts are compared as lower-cased letters and digits, anything else being one
-space.  Each benchmark item is cut into overlapping segments of SEGMENT
-characters (a shorter item is one segment).  A passage matches a segment when
-their edit distance is at most the segment's budget, EDIT_RATE of its length.
-By the q-gram lemma such a passage shares at least  length + 1 - q (budget + 1)
-character q-grams with the segment, on diagonals no further apart than the
-budget.  So: positions whose q-gram occurs in the benchmark are marked; stretches
-with too few marks are dropped; in the rest, shared q-grams are counted for each
-segment in overlapping bands of diagonals; bands that reach the bound are
-verified by banded alignment.  All of this is lossless; an excerpt of SEGMENT
-and a half characters contains a whole segment.
+space.  A document matches an item where any window of SEGMENT characters of the
+item, at whatever offset (the whole of a shorter item), is within the window's
+budget of edits, EDIT_RATE of its length, of a passage.  By the q-gram lemma such
+a passage shares at least  length + 1 - q (budget + 1)  character q-grams with
+the window, on diagonals no further apart than the budget.  So: positions whose
+q-gram occurs in the benchmark are marked; stretches with too few marks are
+dropped; in the rest, shared q-grams are counted for each item in overlapping
+bands of diagonals; where the grams of a band reach the bound within some window,
+all such windows are verified by banded alignment.  All of this is lossless.
 
 The benchmark is sent to the tasks in blocks of at most BLOCK_CHARS characters,
 one pass over the documents for each.
@@ -36,10 +35,11 @@ from pyspark.sql import functions as F
 from stockflow.llm.common import column_values, documents, ready
 
 Q = 8
-SEGMENT, STRIDE = 80, 40
+SEGMENT = 80
 EDIT_RATE = 0.075
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
+ALIGNED = 10_000   # windows aligned at a time
 _B1 = np.uint64(0x9E3779B97F4A7C15)
 _B2, _B4 = (np.uint64(pow(int(_B1), k, 1 << 64)) for k in (2, 4))
 _TABLE_BITS = 20
@@ -79,63 +79,60 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(31))) * _B1 >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
+def aligned(patterns: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, starts, ends) of the best place of each pattern (a row) in its text
+    (a row), on the diagonals that the text is longer by, plus one.  Of equally
+    good places the one that starts last, then ends first.  Cells hold edits and
+    start in one number; rows of the alignment go over the pattern."""
+    m, width = patterns.shape[1], texts.shape[1] - patterns.shape[1] + 1
+    edit = width + 1
+    ramp = np.arange(width) * edit
+    key = np.tile(-np.arange(width), (len(patterns), 1))
+    for i in range(m):
+        new = key + (texts[:, i:i + width] != patterns[:, i, None]) * edit
+        np.minimum(new[:, :-1], key[:, 1:] + edit, out=new[:, :-1])
+        key = np.minimum.accumulate(new - ramp, axis=1) + ramp   # insertions run along the row
+    end = key.argmin(axis=1)
+    best = key[np.arange(len(key)), end]
+    cost = -(-best // edit)
+    return cost, cost * edit - best, end + m
+
+
 def distance(pattern: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best place of ``pattern`` in ``text``, or
-    nothing above ``budget``.  ``text`` is cut to the band's diagonals, so a row of
-    the alignment is as wide as the band; rows go over the pattern."""
-    n = len(text)
-    cost, begin = np.zeros(n + 1, dtype=np.int64), np.arange(n + 1)
-    for p in pattern:
-        swap = cost[:-1] + (text != p)
-        drop = cost[1:] + 1
-        best = np.minimum(swap, drop)
-        new = np.concatenate(([cost[0] + 1], best))
-        from_ = np.concatenate(([begin[0]], np.where(swap <= drop, begin[:-1], begin[1:])))
-        # Insertions run along the row: a running minimum of (cost - column).
-        ramp = np.arange(n + 1)
-        run = np.minimum.accumulate(new - ramp)
-        place = np.maximum.accumulate(np.where(new - ramp == run, ramp, 0))
-        cost, begin = run + ramp, from_[place]
-        if cost.min() > budget:
-            return None
-    end = int(cost.argmin())
-    return (int(cost[end]), int(begin[end]), end) if cost[end] <= budget else None
-
-
-def exact(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int] | None:
-    """The same for an unchanged passage, without aligning."""
-    at = text.tobytes().find(pattern.tobytes())
-    return (0, at // 8, at // 8 + len(pattern)) if at >= 0 and at % 8 == 0 else None
+    """(edits, start, end) of the best place of ``pattern`` in the whole of ``text``,
+    or nothing above ``budget``."""
+    m, n = len(pattern), len(text)
+    around = np.full(m, _SEPARATOR, dtype=np.uint64)
+    cost, start, end = (int(x[0]) for x in aligned(pattern[None], np.concatenate([around, text, around])[None]))
+    return (cost, min(max(start - m, 0), n), min(max(end - m, 0), n)) if cost <= budget else None
 
 
 class Index:
-    """Segments of the benchmark and their q-grams."""
+    """Items of the benchmark and their q-grams."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        self.item, self.start, self.text, self.budget, self.bound = [], [], [], [], []
+        self.item, texts = [], []
         for item, text in items:
             c, _ = normal(text)
             if len(c) and c[-1] == 32:
                 c = c[:-1]
             if len(c) >= LEAST_CHARS:
-                last = max(0, len(c) - SEGMENT)
-                for s in sorted({*range(0, last, STRIDE), last}):
-                    part = c[s:s + SEGMENT]
-                    k = int(len(part) * EDIT_RATE)
-                    self.item.append(item)
-                    self.start.append(s)
-                    self.text.append(part)
-                    self.budget.append(k)
-                    self.bound.append(max(1, len(part) + 1 - Q * (k + 1)))
-        grams = [qgrams(t) for t in self.text]
+                self.item.append(item)
+                texts.append(c)
+        self.length = np.array([len(t) for t in texts], dtype=np.int64)
+        self.window = np.minimum(self.length, SEGMENT)
+        self.budget = (self.window * EDIT_RATE).astype(np.int64)
+        self.bound = np.maximum(1, self.window + 1 - Q * (self.budget + 1))
+        self.text = np.concatenate([*texts, np.empty(0, dtype=np.uint64)])
+        self.begin = np.cumsum([0, *self.length])
+        grams = [qgrams(t) for t in texts]
         flat = np.concatenate([*grams, np.empty(0, dtype=np.uint64)])
         order = np.argsort(flat, kind="stable")
         self.hash = flat[order]
-        self.segment = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
+        self.owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
         self.place = np.concatenate([*[np.arange(len(g)) for g in grams], np.empty(0, dtype=np.int64)])[order].astype(np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[_slot(self.hash)] = True
-        self.budget, self.bound = np.array(self.budget, dtype=np.int64), np.array(self.bound, dtype=np.int64)
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text: (item, start, end, edits) of its passages, in code points."""
@@ -144,16 +141,41 @@ class Index:
             return found
         norms = [normal(t) for t in texts]
         gap = np.full(SEGMENT + Q + int(self.budget.max()) * 2, _SEPARATOR, dtype=np.uint64)
-        c = np.concatenate([x for n, _ in norms for x in (n, gap)] + [gap])
+        c = np.concatenate([gap] + [x for n, _ in norms for x in (n, gap)])
+        begins = len(gap) + np.cumsum([0, *[len(x) + len(gap) for x, _ in norms]])
+        windows = self.candidates(c, begins)
+        hits: list[list[tuple[int, int, int, int, int]]] = [[] for _ in texts]
+        for length in np.unique(self.window[windows[0]]):
+            of_length = np.flatnonzero(self.window[windows[0]] == length)
+            for part in np.array_split(of_length, len(of_length) // ALIGNED + 1):
+                item, start, diagonal, doc = (x[part] for x in windows)
+                k = int(self.budget[item[0]])
+                pattern = self.text[(self.begin[item] + start)[:, None] + np.arange(length)]
+                body = np.take(c, (begins[doc] + diagonal + start)[:, None] + np.arange(length + 2 * k + 1), mode="clip")
+                edits, x, y = aligned(pattern, body)
+                x, y = diagonal + start + x, diagonal + start + y
+                for m in np.flatnonzero(edits <= k):
+                    where = norms[doc[m]][1]
+                    a, z = max(0, int(x[m])), min(len(where), int(y[m]))
+                    if z > a:
+                        hits[doc[m]].append((self.item[item[m]], int(where[a]), int(where[z - 1]) + 1, int(edits[m]), int(start[m])))
+        return [merged(h) for h in hits]
+
+    def candidates(self, c: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(item, window's start in it, first diagonal of a band, text) wherever a
+        window shares its bound of q-grams with a band.  ``c`` holds all texts, each
+        from its place in ``begins``."""
+        none = (np.empty(0, dtype=np.int64),) * 4
         h = qgrams(c)
         hit = self.table[_slot(h)]
-        # A match spans at most segment + budget characters; it must hold the least bound of all segments in marks.
+        hit[:begins[0]] = False
+        # A match spans at most segment + budget characters; it must hold the least bound of all windows in marks.
         width, least = SEGMENT + int(self.budget.max()), int(self.bound.min())
         marks = np.concatenate(([0], np.cumsum(hit)))
         n = len(h)
         dense = marks[np.minimum(np.arange(n) + width, n)] - marks[:-1] >= least
         if not dense.any():
-            return found
+            return none
         reach = np.zeros(n + 1, dtype=np.int64)
         at = np.flatnonzero(dense)
         np.add.at(reach, at, 1)
@@ -163,46 +185,61 @@ class Index:
         count = last - first
         upto = np.cumsum(count)
         if not len(upto) or not upto[-1]:
-            return found
+            return none
         entry = np.arange(upto[-1]) + np.repeat(first - upto + count, count)
-        seg, diagonal = self.segment[entry], np.repeat(at, count) - self.place[entry]
-        # Bands of 2 (budget + 1) diagonals, each overlapping the next by half: any run of budget + 1 lies within one.
-        half = self.budget[seg] + 1
-        band = (diagonal + n) // half
-        key = np.concatenate([seg * (4 * n + 8) + band, seg * (4 * n + 8) + band - 1])
-        keys, shared = np.unique(key, return_counts=True)
-        seg, band = keys // (4 * n + 8), keys % (4 * n + 8)
-        good = shared >= self.bound[seg]
-        begins = np.cumsum([0, *[len(x) + len(gap) for x, _ in norms]])
-        matched: dict[tuple[int, int], int] = {}   # (text, segment) -> where its last passage begins
-        for s, b in zip(seg[good], band[good], strict=True):
-            k, length = int(self.budget[s]), len(self.text[s])
-            lo = int(b) * (k + 1) - n - k
-            doc = int(np.searchsorted(begins, max(lo + length // 2, 0), side="right")) - 1
-            if doc >= len(texts):
-                continue
-            body, where = norms[doc]
-            a, z = max(0, lo - int(begins[doc])), min(len(body), lo + 2 * (k + 1) + length + 2 * k - int(begins[doc]))
-            if z <= a or a <= matched.get((doc, int(s)), -1) <= z - length + k:
-                continue   # the overlapping band has the passage already
-            match = exact(self.text[s], body[a:z]) or distance(self.text[s], body[a:z], k)
-            if match:
-                edits, x, y = match
-                if y > x:
-                    matched[doc, int(s)] = a + x
-                    found[doc].append((self.item[s], int(where[a + x]), int(where[a + y - 1]) + 1, edits))
-        return [merged(f) for f in found]
-
-
-def merged(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Overlapping passages of one item as one; edits: the most of a segment."""
-    out: list[tuple[int, int, int, int]] = []
-    for item, a, z, e in sorted(hits):
+        doc = np.searchsorted(begins, at, side="right") - 1   # bands are of one text: the same in any batch
+        item, place, at, doc = self.owner[entry], self.place[entry], np.repeat(at - begins[doc], count), np.repeat(doc, count)
+        # Bands of 2 (budget + 1) diagonals, each overlapping the next by half: any run of budget + 1, so any
+        # alignment within the budget, lies within one.
+        half = self.budget[item] + 1
+        shift = int(self.length.max() + 2 * (self.budget.max() + 1))
+        wide, many = int(at.max()) + shift + 2, len(begins)
+        key = (item * many + doc) * wide + (at - place + shift) // half
+        keys, group, shared = np.unique(np.concatenate([key, key - 1]), return_inverse=True, return_counts=True)
+        e = np.flatnonzero((shared >= self.bound[keys // wide // many])[group])
+        group, place = group[e], np.tile(place, 2)[e]
+        order = np.lexsort((place, group))
+        group, place = group[order], place[order]
+        own = np.ones(len(group), dtype=bool)   # a gram of the item counts once
+        own[1:] = (group[1:] != group[:-1]) | (place[1:] != place[:-1])
+        group, place = group[own], place[own]
+        # From each gram to the one that completes the bound: the windows that hold them all.
+        item = keys[group] // wide // many
+        end = np.arange(len(group)) + self.bound[item] - 1
+        i = np.flatnonzero(end < len(group))
+        i = i[group[end[i]] == group[i]]
+        low = np.maximum(place[end[i]] - (self.window - Q)[item[i]], 0)
+        high = np.minimum(place[i], (self.length - self.window)[item[i]])
+        ok = low <= high
+        i, low, high = i[ok], low[ok], high[ok]
+        low[1:] = np.where(group[i[1:]] == group[i[:-1]], np.maximum(low[1:], high[:-1] + 1), low[1:])   # each once
+        count = np.maximum(high - low + 1, 0)
+        start = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
+        i = np.repeat(i, count)
+        return item[i], start, keys[group[i]] % wide * (self.budget[item[i]] + 1) - shift, keys[group[i]] // wide % many
+
+
+def merged(hits: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Overlapping windows (item, start, end, edits, start in the item) of one item
+    as one passage; edits: the most of a window that no window about it undercuts."""
+    out: list[tuple[int, int, int, list[tuple[int, int]]]] = []
+    for item, a, z, e, s in sorted(hits):
         if out and out[-1][0] == item and a <= out[-1][2]:
-            out[-1] = (item, out[-1][1], max(z, out[-1][2]), max(e, out[-1][3]))
+            out[-1][3].append((s, e))
+            out[-1] = (item, out[-1][1], max(z, out[-1][2]), out[-1][3])
         else:
-            out.append((item, a, z, e))
-    return out
+            out.append((item, a, z, [(s, e)]))
+    return [(item, a, z, _edits(np.array(w))) for item, a, z, w in out]
+
+
+def _edits(windows: np.ndarray) -> int:
+    """A window that hangs over the end of an excerpt has edits of its own making:
+    one within the budget's reach has fewer."""
+    order = np.lexsort((windows[:, 1], windows[:, 0]))
+    s, e = windows[order].T
+    reach = int(SEGMENT * EDIT_RATE)
+    first, last = np.searchsorted(s, s - reach), np.searchsorted(s, s + reach, side="right")
+    return max(int(x) for x, a, z in zip(e, first, last, strict=True) if x == e[a:z].min())
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
