@@ -14,9 +14,13 @@ all such windows are verified by banded alignment.  All of this is lossless.
 The benchmark is sent to the tasks in blocks of at most BLOCK_CHARS characters,
 one pass over the documents for each.
 
-Null texts and items count as empty; items below LEAST_CHARS characters are not
-searched (too short to tell copying from chance).  Repeated rows are searched
-each; several items may match one document.  Either table empty: no hits.
+Items below LEAST_CHARS characters are too short for edits: they match unchanged,
+from a word's start to a word's end (a letter or digit and anything else part
+words, so within a script without spaces they match a whole run of letters).
+
+Null texts count as empty; null items and items without a letter or digit match
+nothing.  Repeated rows of documents are searched each; several items may match
+one document.  Either table empty: no hits.
 Other columns are not read; ``clean`` passes them on.
 """
 
@@ -75,6 +79,14 @@ def qgrams(c: np.ndarray) -> np.ndarray:
     return four[:-4] * _B4 + four[4:]
 
 
+def _whole(c: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the ``n`` code points from each place."""
+    h = np.zeros(len(at), dtype=np.uint64)
+    for k in range(n):
+        h = h * _B1 + c[at + k]
+    return h
+
+
 def _slot(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(31))) * _B1 >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
@@ -112,6 +124,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str | None]]):
         self.item, texts = [], []
+        short: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}   # length -> hash -> items
         for item, text in items:
             c, _ = normal(text)
             if len(c) and c[-1] == 32:
@@ -119,6 +132,8 @@ class Index:
             if len(c) >= LEAST_CHARS:
                 self.item.append(item)
                 texts.append(c)
+            elif len(c):
+                short.setdefault(len(c), {}).setdefault(int(_whole(c, np.zeros(1, dtype=np.int64), len(c))[0]), []).append((item, c))
         self.length = np.array([len(t) for t in texts], dtype=np.int64)
         self.window = np.minimum(self.length, SEGMENT)
         self.budget = (self.window * EDIT_RATE).astype(np.int64)
@@ -133,18 +148,25 @@ class Index:
         self.place = np.concatenate([*[np.arange(len(g)) for g in grams], np.empty(0, dtype=np.int64)])[order].astype(np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[_slot(self.hash)] = True
+        self.short = {n: (np.array(sorted(of), dtype=np.uint64), of) for n, of in short.items()}
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text: (item, start, end, edits) of its passages, in code points."""
         found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-        if not len(self.hash):
+        if not len(self.hash) and not self.short:
             return found
         norms = [normal(t) for t in texts]
-        gap = np.full(SEGMENT + Q + int(self.budget.max()) * 2, _SEPARATOR, dtype=np.uint64)
+        gap = np.full(SEGMENT + Q + int(SEGMENT * EDIT_RATE) * 2, _SEPARATOR, dtype=np.uint64)
         c = np.concatenate([gap] + [x for n, _ in norms for x in (n, gap)])
         begins = len(gap) + np.cumsum([0, *[len(x) + len(gap) for x, _ in norms]])
-        windows = self.candidates(c, begins)
         hits: list[list[tuple[int, int, int, int, int]]] = [[] for _ in texts]
+        for item, at, end in self.unchanged(c):
+            doc = int(np.searchsorted(begins, at, side="right")) - 1
+            where = norms[doc][1]
+            hits[doc].append((item, int(where[at - begins[doc]]), int(where[end - 1 - begins[doc]]) + 1, 0, 0))
+        if not len(self.hash):
+            return [merged(h) for h in hits]
+        windows = self.candidates(c, begins)
         for length in np.unique(self.window[windows[0]]):
             of_length = np.flatnonzero(self.window[windows[0]] == length)
             for part in np.array_split(of_length, len(of_length) // ALIGNED + 1):
@@ -161,6 +183,20 @@ class Index:
                         hits[doc[m]].append((self.item[item[m]], int(where[a]), int(where[z - 1]) + 1, int(edits[m]), int(start[m])))
         return [merged(h) for h in hits]
 
+    def unchanged(self, c: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of the short items' places in ``c``."""
+        if not self.short:
+            return
+        letter = (c != 32) & (c != _SEPARATOR)   # neither first nor last: gaps are around all texts
+        starts = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
+        for n, (hashes, items) in self.short.items():
+            at = starts[letter[starts + n - 1] & ~letter[starts + n]]
+            h = _whole(c, at, n)
+            for k in np.flatnonzero(np.isin(h, hashes)):
+                for item, text in items[int(h[k])]:
+                    if (c[at[k]:at[k] + n] == text).all():
+                        yield item, int(at[k]), int(at[k]) + n
+
     def candidates(self, c: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(item, window's start in it, first diagonal of a band, text) wherever a
         window shares its bound of q-grams with a band.  ``c`` holds all texts, each

@@ -77,3 +77,17 @@ def test_long_items_and_short_texts_in_one_batch():
 def test_alignment_on_a_band_prefers_the_shortest_place():
     p, t = np.array([[1, 2, 3, 4]]), np.array([[9, 9, 2, 3, 4, 9, 9]])
     assert [int(x[0]) for x in decontam.aligned(p, t)] == [1, 2, 5]
+
+
+def test_short_items_match_unchanged_words():
+    index = decontam.Index([(1, "Who wrote it?"), (2, "x"), (3, "ça va"), (4, "?!"), (5, "Who wrote it"), (6, "twenty-three characters")])
+    texts = ["So: who  WROTE it, then", "who wrote its", "awho wrote it", "X", "x1 xx", "Ça-va?", "?!", None, "who wrote", "x, x",
+             "they have twenty three characters.", "twenty three character"]
+    got = index.search(texts)
+    assert [{h[0] for h in hits} for hits in got] == [{1, 5}, set(), set(), {2}, set(), {3}, set(), set(), set(), {2}, {6}, set()]
+    assert [texts[0][h[1]:h[2]] for h in got[0]] == ["who  WROTE it"] * 2 and len(got[9]) == 2
+    assert all(h[3] == 0 for hits in got for h in hits)
+    rng = random.Random(24)
+    item = prose(rng, 40)
+    both = decontam.Index([(1, "who wrote it"), (9, item)]).search([f"{item} who wrote it", item, "who wrote it"])
+    assert [{h[0] for h in hits} for hits in both] == [{1, 9}, {9}, {1}]
