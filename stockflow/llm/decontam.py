@@ -11,8 +11,9 @@ dropped; in the rest, shared q-grams are counted for each item in overlapping
 bands of diagonals; where the grams of a band reach the bound within some window,
 all such windows are verified by banded alignment.  All of this is lossless.
 
-The benchmark is sent to the tasks in blocks of at most BLOCK_CHARS characters,
-one pass over the documents for each.
+The benchmark, without repeated rows, is sent to the tasks in blocks of about
+BLOCK_CHARS characters (a hash of the row decides), one pass over the documents
+for each.
 
 Items below LEAST_CHARS characters are too short for edits: they match unchanged,
 from a word's start to a word's end (a letter or digit and anything else part
@@ -281,7 +282,7 @@ def _edits(windows: np.ndarray) -> int:
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """The benchmark's items, a bounded block at a time."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    b = b.where("item_id is not null and text is not null")
+    b = b.where("item_id is not null and text is not null").distinct()   # repeats give the same passages, and would all hash to one block
     total = b.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(total // BLOCK_CHARS) + 1
     for k in range(blocks):

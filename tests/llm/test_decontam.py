@@ -91,3 +91,11 @@ def test_short_items_match_unchanged_words():
     item = prose(rng, 40)
     both = decontam.Index([(1, "who wrote it"), (9, item)]).search([f"{item} who wrote it", item, "who wrote it"])
     assert [{h[0] for h in hits} for hits in both] == [{1, 9}, {9}, {1}]
+
+
+def test_repeats_of_a_row_do_not_fill_a_block(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 2000)
+    item = prose(random.Random(25), 20)
+    benchmark = spark.createDataFrame([(1, item)] * 60 + [(2, item)], "item_id long, text string")
+    assert [sorted(i.item) for i in decontam.indexes(benchmark)] == [[1, 2]]
+    assert sorted(r["item_id"] for r in decontam.find(make_docs([(5, item)]), benchmark).collect()) == [1, 2]
