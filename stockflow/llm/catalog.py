@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import ann, arrow_store, chat, decontam, langid, lm, neardup, packing, pii, toxicity
+from stockflow.llm import (ann, arrow_store, chat, conversation_repair, decontam, langid, lm, neardup, ngram_join, oracles, packing, pii, toxicity,
+                           whitening)
 from stockflow.llm.common import id_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,7 +99,23 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat, op2_pii, op3_lm, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store, op10_langid)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of all vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations after damage."""
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by their 3-word shingles."""
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat, op2_pii, op3_lm, op4_packing, op5_neardup, op6_decontam, op7_toxicity, op8_ann, op9_arrow_store,
+                                                     op10_langid, op11_whitening, op12_repair, op13_ngram_join)}
 
 # Queries that DuckDB can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_repair": oracles.repair_sql(), "op13_ngram_join": oracles.NGRAM_JOIN}

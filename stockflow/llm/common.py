@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from stockflow.session import ensure_checkpoint_dir, shared_dir, ship_package
 
-# Rows per Arrow batch: a batch of whole texts must fit a Python worker.
+# Rows and bytes per Arrow batch: a batch of whole texts must fit a Python worker.
 ARROW_ROWS = 1000
+ARROW_BYTES = 32 << 20
 
 
 def ready(spark: SparkSession) -> None:
@@ -22,6 +23,7 @@ def ready(spark: SparkSession) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
