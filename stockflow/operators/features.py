@@ -7,6 +7,7 @@
   product (days without sales have no row, so lags count selling days, not
   calendar days); ordinal encodings of product and category fitted on every
   product *before* rows lacking a full history are dropped.
+* ``share_cutoff``     — the first day before which a given share of the rows lies.
 * ``time_split``       — train (< cutoff) / test (>= cutoff).
 
 Every window is partitioned by product and holds at most one row per day of
@@ -29,6 +30,8 @@ FEATURES = ["month", "quarter", "week_number", "day_of_week", "is_weekend",
 TARGET = "units_sold"
 LAGS = (7, 14, 30)
 WINDOWS = (7, 30)
+# Fixed value: share of the feature rows before the reference's cutoff (18,952 of 22,464), in percent.
+TRAIN_PERCENT = 84
 
 # Output layout of the daily demand.
 DAILY_COLUMNS = ["full_date", "year", "month", "quarter", "week_number", "day_of_week", "is_weekend",
@@ -66,5 +69,16 @@ def demand_features(daily: DataFrame, lags: Sequence[int] = LAGS, windows: Seque
     return feats.dropna(subset=required).select(*DAILY_COLUMNS, *required, "product_enc", "category_enc")
 
 
+def share_cutoff(df: DataFrame, col: str, percent: int = TRAIN_PERCENT) -> str | None:
+    """First day that has at least ``percent`` of all rows before it, or the last day
+    if none has (a null table: null).  Rows are counted per day first, so the
+    ordered window holds the calendar's days only."""
+    days = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    ordered = Window.orderBy(col)   # a row for each day
+    days = days.select(col, (F.sum("n").over(ordered) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"))
+    first, last = days.agg(F.min(F.when(F.col("before") * 100 >= F.col("total") * percent, F.col(col))), F.max(col)).first()
+    return first if first is not None else last
+
+
 def time_split(df: DataFrame, col: str, cutoff: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(col) < F.lit(cutoff)), df.where(F.col(col) >= F.lit(cutoff))

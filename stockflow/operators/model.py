@@ -38,8 +38,9 @@ PREDICTION = "prediction"
 # forecast inputs, and the reorder factor over base demand.
 NUM_TREES, MAX_DEPTH, MIN_LEAF, SEED = 100, 12, 5, 42
 HORIZON, HISTORY_DEPTH, REORDER_FACTOR = 90, 30, 1.2
-# Partitions of the training rows: a setting, never the cluster's size of the moment.
-FIT_PARTITIONS = 32
+# Training rows in a partition: their number follows from the rows, never from the
+# cluster's size of the moment.
+FIT_ROWS = 16_000
 
 
 def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -51,10 +52,11 @@ def assemble(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 
 def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
                num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF, seed: int = SEED,
-               max_bins: int = 64, max_memory_mb: int = 4096, partitions: int = FIT_PARTITIONS,
+               max_bins: int = 64, max_memory_mb: int = 512, partitions: int | None = None,
                keys: Sequence[str] = ("product_id", "full_date"), bootstrap: bool = True) -> RandomForestRegressionModel:
-    """Rows are dealt by a hash of ``keys`` into a given number of partitions and
-    sorted there: the sampled trees do not depend on the cluster's size."""
+    """Rows are dealt by a hash of ``keys`` into as many partitions as their number
+    asks for and sorted there: the sampled trees do not depend on the cluster's size."""
+    partitions = partitions or max(1, -(-train.count() // FIT_ROWS))
     dealt = train.repartition(partitions, *keys).sortWithinPartitions(*keys, target)
     data = assemble(dealt, features).select("features", F.col(target).cast("double").alias("label"))
     rf = RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,

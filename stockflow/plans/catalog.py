@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import iso_date
 from stockflow.functions.numeric import money_out, round_half_up
-from stockflow.operators import facts
+from stockflow.operators import facts, tree
 from stockflow.plans import export, kpis
 from stockflow.plans.forecast import demand_forecast, top_by
 from stockflow.operators import model as mdl
@@ -356,6 +356,61 @@ def q_forecast_keys(spark, sf_dir):
             .select("forecast_date", "product_id", "product_name", "category"))
 
 
+# -- one deterministic tree, and node tables ---------------------------------------
+
+def q_tree_nodes(spark, sf_dir):
+    """The tree grown by histograms over all training rows."""
+    return _fc(spark, sf_dir).tree_nodes()
+
+
+def q_tree_importance(spark, sf_dir):
+    return tree.importance(_fc(spark, sf_dir).tree_nodes())
+
+
+def q_tree_predictions(spark, sf_dir):
+    fc = _fc(spark, sf_dir)
+    return fc.node_predictions(fc.tree_nodes(), tree.TREE_DEPTH)
+
+
+def q_tree_metrics(spark, sf_dir):
+    return mdl.error_metrics(q_tree_predictions(spark, sf_dir))
+
+
+def q_tree_forecast(spark, sf_dir):
+    fc = _fc(spark, sf_dir)
+    return fc.node_forecast(fc.tree_nodes(), tree.TREE_DEPTH)
+
+
+def q_tree_forecast_monthly(spark, sf_dir):
+    return _fc(spark, sf_dir).monthly(q_tree_forecast(spark, sf_dir))
+
+
+def q_tree_forecast_top5(spark, sf_dir):
+    fc = _fc(spark, sf_dir)
+    return top_by(q_tree_forecast_monthly(spark, sf_dir), fc.start[:7], "predicted_units")
+
+
+def q_tree_forecast_by_category(spark, sf_dir):
+    return _by_category(q_tree_forecast(spark, sf_dir))
+
+
+def q_forest_node_scores(spark, sf_dir):
+    """The whole forest scored from its stored nodes against the fitted model: held-out
+    rows, and how many have the same prediction."""
+    fc = _fc(spark, sf_dir)
+    own = fc.node_predictions(fc.forest_nodes(), fc.forest_depth()).select("product_id", "full_date", F.col("prediction").alias("own"))
+    both = fc.test_predictions().join(own, ["product_id", "full_date"])
+    return both.agg(F.count(F.lit(1)).alias("test_rows"), F.sum((F.abs(F.col("own") - F.col("prediction")) < 1e-9).cast("bigint")).alias("equal_rows"))
+
+
+def q_forest_node_importance(spark, sf_dir):
+    """Importances from the forest's stored nodes against the fitted model's."""
+    fc = _fc(spark, sf_dir)
+    own = tree.importance(fc.forest_nodes()).withColumnRenamed("importance", "own")
+    both = fc.feature_importance().join(own, "feature")
+    return both.agg(F.count(F.lit(1)).alias("features"), F.sum((F.abs(F.col("own") - F.col("importance")) < 1e-9).cast("bigint")).alias("equal_features"))
+
+
 # -- model (no SQL oracle: the forest is an iterative algorithm) -------------------
 
 def q_model_metrics(spark, sf_dir):
@@ -385,11 +440,15 @@ def q_forecast_top5(spark, sf_dir):
         "month", "product_id", "product_name", "category", "predicted_units")
 
 
-def q_dash_forecast_by_category(spark, sf_dir):
-    return (_fc(spark, sf_dir).forecast().groupBy("category")
+def _by_category(forecast: DataFrame) -> DataFrame:
+    return (forecast.groupBy("category")
             .agg(F.sum(F.col("predicted_units").cast("decimal(28,1)")).cast("double").alias("predicted_units")))
 
 
+def q_dash_forecast_by_category(spark, sf_dir):
+    return _by_category(_fc(spark, sf_dir).forecast())
+
+
 QUERIES: dict[str, Query] = {
     # warehouse build
     "dim_date": q_dim_date,
@@ -438,6 +497,17 @@ QUERIES: dict[str, Query] = {
     "naive_forecast_monthly": q_naive_forecast_monthly,
     "demand_monthly": q_demand_monthly,
     "demand_top5_month": q_demand_top5_month,
+    # one deterministic tree, node tables
+    "tree_nodes": q_tree_nodes,
+    "tree_importance": q_tree_importance,
+    "tree_predictions": q_tree_predictions,
+    "tree_metrics": q_tree_metrics,
+    "tree_forecast": q_tree_forecast,
+    "tree_forecast_monthly": q_tree_forecast_monthly,
+    "tree_forecast_top5": q_tree_forecast_top5,
+    "tree_forecast_by_category": q_tree_forecast_by_category,
+    "forest_node_scores": q_forest_node_scores,
+    "forest_node_importance": q_forest_node_importance,
     # forest model and forecast
     "model_counts": q_model_counts,
     "forecast_keys": q_forecast_keys,

@@ -4,7 +4,12 @@
 split → forest → evaluation, importances, 90-day forecast and its monthly
 rollup.  The feature table and the label encoders are materialised once per
 application in the shared checkpoint folder, and the fitted model is kept
-for the session, so every report re-uses one fit.
+for the session, so every report re-uses one fit.  What is stored or kept is not
+built anew if the input changes under the same path.
+
+Beside the forest stands one deterministic tree (``tree_*``), and both exist as
+node tables: ``save_forest`` stores the forest, and a forecast given its folder
+as ``forest_path`` scores from the nodes without a fit.
 """
 
 from __future__ import annotations
@@ -19,12 +24,13 @@ from pyspark.sql import functions as F
 from stockflow.operators import facts
 from stockflow.operators import features as feat
 from stockflow.operators import model as mdl
+from stockflow.operators import tree
 from stockflow.plans.warehouse import StarSchema, star_schema
 from stockflow.session import shared_dir
 from stockflow.sources import testdata
 
-# The first day of the test rows: a setting of the model, not a property of the data.
-FORECAST_CUTOFF = "2001-08-01"
+ROW = ["product_id", "full_date"]
+FUTURE = ["forecast_date", "product_id", "product_name", "category", "base_demand"]
 
 _lock = threading.Lock()
 _registry: dict[tuple, DemandForecast] = {}
@@ -32,20 +38,22 @@ _registry: dict[tuple, DemandForecast] = {}
 
 class DemandForecast:
     """Forecast over fact_orders, dim_date and dim_products frames; ``start`` is
-    the first day to forecast.  ``key`` names the inputs (stored tables go under it)."""
+    the first day to forecast.  ``key`` names the inputs (stored tables go under it).
+    Without a ``cutoff`` the test rows begin where ``train_percent`` of them lie before."""
 
     def __init__(self, fact_orders: DataFrame, dim_date: DataFrame, dim_products: DataFrame, start: str, key: str,
-                 cutoff: str = FORECAST_CUTOFF, horizon: int = mdl.HORIZON, num_trees: int = mdl.NUM_TREES,
+                 cutoff: str | None = None, train_percent: int = feat.TRAIN_PERCENT, horizon: int = mdl.HORIZON, num_trees: int = mdl.NUM_TREES,
                  max_depth: int = mdl.MAX_DEPTH, min_leaf: int = mdl.MIN_LEAF, seed: int = mdl.SEED,
-                 reorder_factor: float = mdl.REORDER_FACTOR):
+                 reorder_factor: float = mdl.REORDER_FACTOR, forest_path: str | None = None):
         self.spark = fact_orders.sparkSession
         self._fact_orders, self._dim_date, self._dim_products = fact_orders, dim_date, dim_products
-        self.cutoff, self.start, self.horizon = cutoff, start, horizon
+        self._cutoff, self.train_percent, self.start, self.horizon = cutoff, train_percent, start, horizon
+        self.forest_path = forest_path
         self.forest_params = dict(num_trees=num_trees, max_depth=max_depth, min_leaf=min_leaf, seed=seed)
         self.reorder_factor = reorder_factor
         self._cache: dict[str, object] = {}
         self._locks: dict[str, threading.RLock] = {}
-        digest = hashlib.sha1(f"{key}|{cutoff}|{start}|{horizon}".encode()).hexdigest()[:12]
+        digest = hashlib.sha1(f"{key}|{cutoff}|{train_percent}|{start}|{horizon}".encode()).hexdigest()[:12]
         self.root = shared_dir(self.spark, "forecast", digest, uuid.uuid4().hex[:8])
 
     @classmethod
@@ -98,6 +106,10 @@ class DemandForecast:
             return self.spark.read.parquet(path)
         return self._memo("features", build)
 
+    @property
+    def cutoff(self) -> str:
+        return self._memo("cutoff", lambda: self._cutoff or feat.share_cutoff(self.features(), "full_date", self.train_percent))
+
     def split(self) -> tuple[DataFrame, DataFrame]:
         return feat.time_split(self.features(), "full_date", self.cutoff)
 
@@ -128,6 +140,39 @@ class DemandForecast:
     def feature_importance(self) -> DataFrame:
         return mdl.feature_importance(self.spark, self.model())
 
+    # -- node tables -----------------------------------------------------------
+    def save_forest(self, path: str) -> str:
+        """Store the fitted forest (a folder that a later application can score from)."""
+        self.model().write().overwrite().save(path)
+        return path
+
+    def forest_nodes(self) -> DataFrame:
+        """The forest as rows: from ``forest_path`` if given, else from this fit, stored once."""
+        def build():
+            return tree.forest_nodes(self.spark, self.forest_path or self.save_forest(f"{self.root}/forest"))
+        return self._memo("forest_nodes", build)
+
+    def tree_nodes(self) -> DataFrame:
+        """One deterministic tree over the training rows."""
+        def build():
+            path = f"{self.root}/tree"
+            tree.grow_tree(self.split()[0]).coalesce(1).write.mode("overwrite").parquet(path)   # at most 2^(depth + 1) rows
+            return self.spark.read.parquet(path)
+        return self._memo("tree_nodes", build)
+
+    def node_predictions(self, nodes: DataFrame, depth: int) -> DataFrame:
+        """Held-out rows scored from a node table."""
+        _, test = self.split()
+        scored = tree.score(test, nodes, [*ROW, "units_sold"], depth)
+        return scored.select("full_date", "product_id", "units_sold", "prediction")
+
+    def node_forecast(self, nodes: DataFrame, depth: int) -> DataFrame:
+        """The forecast from a node table."""
+        return mdl.forecast_rows(tree.score(self.future_features(), nodes, FUTURE, depth), reorder_factor=self.reorder_factor)
+
+    def forest_depth(self) -> int:
+        return self.forest_params["max_depth"]
+
     # -- forecast --------------------------------------------------------------
     def future_features(self) -> DataFrame:
         def build():
