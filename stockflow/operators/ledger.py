@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import date_key
+from stockflow.operators.ranking import global_rank
 
 LEDGER_COLUMNS = ["inventory_id", "date", "product_id", "warehouse_id", "stock_level", "restock_qty"]
 
@@ -126,3 +127,107 @@ def stock_ledger(assortment: DataFrame, orders: DataFrame, start: str, end: str,
         "stock_level",
         F.when(F.col("day") == F.col("i"), F.col("restock")).otherwise(zero).alias("restock_qty"),
     )
+
+
+# -- by periods ---------------------------------------------------------------------
+
+PAIR = ["product_id", "warehouse_id"]
+
+
+def ledger_events(assortment: DataFrame, orders: DataFrame, day0: str, start: str, end: str,
+                  restock_every: int = RESTOCK_EVERY) -> DataFrame:
+    """(pair, year, i, restock, sold) for the days from ``start`` to ``end``; i counts
+    from ``day0``.  Every stocked pair has an event on the first day of each year,
+    so that every year has its function."""
+    first, last = ((date.fromisoformat(d) - date.fromisoformat(day0)).days for d in (start, end))
+    zero, origin = F.lit(0).cast("bigint"), F.to_date(F.lit(day0))
+    due = -(-first // restock_every) * restock_every
+    opens = sorted({first} | {(date(y, 1, 1) - date.fromisoformat(day0)).days for y in range(date.fromisoformat(start).year + 1, date.fromisoformat(end).year + 1)})
+    base = assortment.select(*PAIR, F.col("restock_qty").cast("bigint").alias("restock"))
+    parts = [base.select(*PAIR, F.explode(F.array(*[F.lit(i) for i in opens])).alias("i"), zero.alias("restock"), zero.alias("sold"))]
+    if due <= last:
+        parts.append(base.select(*PAIR, F.explode(F.sequence(F.lit(due), F.lit(last), F.lit(restock_every))).alias("i"), "restock", zero.alias("sold")))
+    sales = daily_units(orders, start, end).join(assortment.select(*PAIR).distinct(), PAIR, "left_semi")
+    parts.append(sales.select(*PAIR, F.datediff("d", origin).alias("i"), zero.alias("restock"), F.col("sold").cast("bigint").alias("sold")))
+    events = parts[0]
+    for part in parts[1:]:
+        events = events.unionByName(part)
+    year = F.year(F.date_add(origin, F.col("i")))
+    return events.withColumn("year", year).groupBy(*PAIR, "year", "i").agg(F.sum("restock").alias("restock"), F.sum("sold").alias("sold"))
+
+
+def clamp_maps(events: DataFrame) -> DataFrame:
+    """(pair, year, a, b): a year's stock as max(a, opening + b)."""
+    upto = Window.partitionBy(*PAIR, "year").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = events.select(*PAIR, "year", "restock", "sold", F.sum(F.col("restock") - F.col("sold")).over(upto).alias("x"))
+    return (x.groupBy(*PAIR, "year").agg(F.sum(F.col("restock") - F.col("sold")).alias("b"), F.min("x").alias("low"))
+            .select(*PAIR, "year", (F.col("b") - F.col("low")).alias("a"), "b"))
+
+
+def opening_stock(maps: DataFrame, initial: DataFrame) -> DataFrame:
+    """(pair, year, opening, closing) from the years' functions and each pair's
+    ``initial_stock`` before the first of them; composed in order, a row a year."""
+    w = Window.partitionBy(*PAIR).orderBy("year")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = maps.withColumn("bs", F.sum("b").over(upto))
+    whole = total.withColumn("as", F.col("bs") + F.max(F.col("a") - F.col("bs")).over(upto))
+    closed = whole.join(initial.select(*PAIR, F.col("initial_stock").cast("bigint").alias("s0")), PAIR)
+    closing = F.greatest("as", F.col("s0") + F.col("bs"))
+    return (closed.select(*PAIR, "year", "s0", closing.alias("closing"))
+            .select(*PAIR, "year", F.coalesce(F.lag("closing").over(w), "s0").alias("opening"), "closing"))
+
+
+def settle(events: DataFrame, openings: DataFrame, day0: str, end: str) -> DataFrame:
+    """Daily snapshots of every (pair, year) from its opening stock, in the ledger's layout."""
+    ordered = Window.partitionBy(*PAIR, "year").orderBy("i")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    origin, zero = F.to_date(F.lit(day0)), F.lit(0).cast("bigint")
+    after = F.least(F.datediff(F.make_date(F.col("year") + 1, F.lit(1), F.lit(1)), origin),
+                    F.datediff(F.to_date(F.lit(end)), origin) + 1)   # the day after the year's last
+    x = (events.join(openings.select(*PAIR, "year", "opening"), [*PAIR, "year"])
+         .withColumn("x", F.col("opening") + F.sum(F.col("restock") - F.col("sold")).over(upto))
+         .withColumn("next_i", F.coalesce(F.lead("i").over(ordered), after)))
+    settled = x.select(*PAIR, "i", "next_i", "restock", (F.col("x") - F.least(F.lit(0), F.min("x").over(upto))).cast("bigint").alias("stock_level"))
+    daily = settled.select(*PAIR, "i", "restock", "stock_level", F.explode(F.sequence(F.col("i"), F.col("next_i") - 1)).alias("day"))
+    d = F.date_add(origin, F.col("day"))
+    return daily.select(inventory_key(*PAIR, date_key(d)).alias("inventory_id"), d.alias("date"), *PAIR, "stock_level",
+                        F.when(F.col("day") == F.col("i"), F.col("restock")).otherwise(zero).alias("restock_qty"))
+
+
+def ledger_by_year(assortment: DataFrame, orders: DataFrame, start: str, end: str,
+                   restock_every: int = RESTOCK_EVERY) -> tuple[DataFrame, DataFrame]:
+    """(snapshots, closing): the whole ledger with each year settled on its own, and
+    (pair, year, opening, closing)."""
+    events = ledger_events(assortment, orders, start, start, end, restock_every)
+    openings = opening_stock(clamp_maps(events), assortment)
+    return settle(events, openings, start, end), openings
+
+
+def extend_ledger(closing: DataFrame, assortment: DataFrame, orders: DataFrame, day0: str, start: str, end: str,
+                  restock_every: int = RESTOCK_EVERY) -> tuple[DataFrame, DataFrame]:
+    """Snapshots and closing stock for the days from ``start`` to ``end``, going on
+    from ``closing`` (pair, closing) of the day before; pairs that it does not know
+    begin with their ``initial_stock``.  Of ``orders`` only these days are used."""
+    events = ledger_events(assortment, orders, day0, start, end, restock_every)
+    known = closing.select(*PAIR, F.col("closing").cast("bigint").alias("closing"))
+    initial = assortment.join(known, PAIR, "left").select(*PAIR, F.coalesce("closing", F.col("initial_stock").cast("bigint")).alias("initial_stock"))
+    openings = opening_stock(clamp_maps(events), initial)
+    return settle(events, openings, day0, end), openings
+
+
+# -- surrogate ids ------------------------------------------------------------------
+
+def surrogate_numbers(snapshots: DataFrame, day0: str, n_days: int, out: str = "number") -> DataFrame:
+    """Adds the running number of every snapshot, 1, 2, 3 ... by product, warehouse and
+    day, without ordering the snapshots: the number of the pair (ranked over the
+    pairs only) is the leading digit, the day the last, in base ``n_days``."""
+    pairs = global_rank(snapshots.select(*PAIR).distinct(), [(c, False) for c in PAIR], "__pair")
+    day = F.datediff("date", F.to_date(F.lit(day0)))
+    number = (F.col("__pair").cast("bigint") - 1) * n_days + day + 1
+    return snapshots.join(pairs, PAIR).withColumn(out, number).drop("__pair")
+
+
+def padded_id(prefix: str, number: Column | str, width: int = 7) -> Column:
+    """``INV0000042``: at least ``width`` digits, more if the number needs them."""
+    number = F.col(number) if isinstance(number, str) else number
+    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), F.greatest(F.lit(width), F.length(number.cast("string"))), F.lit("0")))

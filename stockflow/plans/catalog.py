@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.calendar import iso_date
 from stockflow.functions.numeric import money_out, round_half_up
-from stockflow.operators import facts, tree
+from stockflow.operators import facts, ledger, tree
 from stockflow.plans import export, kpis
 from stockflow.plans.forecast import demand_forecast, top_by
 from stockflow.operators import model as mdl
-from stockflow.plans.warehouse import star_schema
+from stockflow.plans.warehouse import YEAR, star_schema
 from stockflow.session import shared_dir
 from stockflow.sources import files, schemas
 
@@ -87,6 +87,20 @@ def q_csv_roundtrip(spark, sf_dir):
     return _csv_back(spark, sf_dir, "orders")
 
 
+def q_csv_rejects(spark, sf_dir):
+    """All orders as CSV with cells of some of them spoilt, read back checked: good
+    rows with their sums, and rejects by reason."""
+    path = _fresh(spark, sf_dir, "spoilt.csv")
+    o, key = _ws(spark, sf_dir).raw("orders"), F.col("order_id")
+    spoilt = o.withColumn("quantity", F.when(key % 50 == 7, "n/a").otherwise(F.col("quantity").cast("string")))
+    spoilt = spoilt.withColumn("unit_price", F.when(key % 50 == 8, "free").otherwise(F.col("unit_price").cast("string")))
+    files.write_csv(spoilt, path)
+    rows, rejects = files.read_checked(spark, path, "orders")
+    good = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("units")).select(F.lit("good").alias("reason"), "n_rows", "units")
+    bad = rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("bigint").alias("units"))
+    return good.unionByName(bad)
+
+
 def q_csv_suppliers(spark, sf_dir):
     return _csv_back(spark, sf_dir, "suppliers")
 
@@ -150,6 +164,41 @@ def q_stock_ledger(spark, sf_dir):
     return _by_month(inv, F.year("date") * 100 + F.month("date"), F.dayofmonth("date"))
 
 
+def q_ledger_by_year(spark, sf_dir):
+    """The ledger with every pair's years settled apart, from composed openings."""
+    ws = _ws(spark, sf_dir)
+    first, last = (d.isoformat() for d in ws.order_days())
+    inv, _ = ledger.ledger_by_year(ws.assortment(), ws.raw("orders"), first, last)
+    return _by_month(inv, F.year("date") * 100 + F.month("date"), F.dayofmonth("date"))
+
+
+def q_ledger_extended(spark, sf_dir):
+    """The ledger up to the last year, then that year added from its own orders and
+    the stored closing stock."""
+    ws = _ws(spark, sf_dir)
+    first, last = ws.order_days()
+    if first.year == last.year:
+        return q_ledger_by_year(spark, sf_dir)
+    stocked = ws.assortment()
+    orders, year = ws.by_year("raw_orders"), F.col(YEAR)
+    before, openings = ledger.ledger_by_year(stocked, orders.where(year < last.year), first.isoformat(), f"{last.year - 1}-12-31")
+    path = _fresh(spark, sf_dir, "closing")
+    files.write_table(openings.where(F.col("year") == last.year - 1).select("product_id", "warehouse_id", "closing"), path)
+    after, _ = ledger.extend_ledger(files.read_table(spark, path), stocked, orders.where(year == last.year), first.isoformat(),
+                                    f"{last.year}-01-01", last.isoformat())
+    return _by_month(before.unionByName(after), F.year("date") * 100 + F.month("date"), F.dayofmonth("date"))
+
+
+def q_inventory_numbers(spark, sf_dir):
+    """Running numbers and zero-padded ids of all daily snapshots, by pair and month."""
+    ws = _ws(spark, sf_dir)
+    numbered = ledger.surrogate_numbers(ws.raw("inventory"), ws.order_days()[0].isoformat(), ws.horizon_days)
+    by_month = (numbered.groupBy("product_id", "warehouse_id", (F.year("date") * 100 + F.month("date")).cast("int").alias("month"))
+                .agg(F.count(F.lit(1)).alias("n_days"), F.min("number").alias("first_number"), F.max("number").alias("last_number"),
+                     F.sum("number").alias("numbers")))
+    return by_month.withColumn("first_id", ledger.padded_id("INV", "first_number")).withColumn("last_id", ledger.padded_id("INV", "last_number"))
+
+
 def q_fact_inventory(spark, sf_dir):
     fi = _ws(spark, sf_dir).plan("fact_inventory")
     supply = F.col("days_of_supply").cast("decimal(18,1)")
@@ -164,6 +213,14 @@ def q_kpi1(spark, sf_dir):
     return kpis.monthly_revenue(_t(spark, sf_dir, "fact_orders"), _t(spark, sf_dir, "dim_date"))
 
 
+def q_kpi1_last_year(spark, sf_dir):
+    """KPI 1 over the weekends of the calendar's last year, reading that year's folder only."""
+    ws = _ws(spark, sf_dir)
+    dd = ws.table("dim_date")
+    days = dd.where((F.col("year") == ws.order_days()[1].year) & (F.col("is_weekend") == 1))
+    return kpis.monthly_revenue(kpis.within(ws.by_year("fact_orders"), days), dd)
+
+
 def q_kpi2(spark, sf_dir):
     return kpis.delivery_rate(_t(spark, sf_dir, "fact_orders"), _t(spark, sf_dir, "dim_warehouses"))
 
@@ -251,6 +308,7 @@ def q_load_summary(spark, sf_dir):
         cnt(ws.raw("warehouses"), "warehouse_rows"),
         cnt(ws.raw("orders"), "order_rows"),
         cnt(ws.table("raw_inventory"), "inventory_rows"),
+        cnt(ws.rejects(), "rejected_rows"),
         ws.raw("orders").agg(money_out(F.sum("total_amount")).alias("gross_total_amount")),
     ])
 
@@ -466,7 +524,12 @@ QUERIES: dict[str, Query] = {
     "avg_daily_demand": q_avg_daily_demand,
     "stock_ledger": q_stock_ledger,
     "fact_inventory": q_fact_inventory,
+    "ledger_by_year": q_ledger_by_year,
+    "ledger_extended": q_ledger_extended,
+    "inventory_numbers": q_inventory_numbers,
+    "csv_rejects": q_csv_rejects,
     # KPIs
+    "kpi1_last_year": q_kpi1_last_year,
     "kpi1_monthly_revenue": q_kpi1,
     "kpi2_delivery_rate": q_kpi2,
     "kpi3_supplier_scorecard": q_kpi3,

@@ -39,6 +39,15 @@ def _status(s: str):
     return F.col("status") == s
 
 
+def within(fact: DataFrame, days: DataFrame, year: str = "__year") -> DataFrame:
+    """Rows of a fact stored by ``year`` on the calendar ``days`` (a filtered
+    dim_date).  The join on (year, day) lets Spark read only those years' folders,
+    whatever the filter on the calendar is."""
+    wanted = days.select(F.col("year").alias("__wanted_year"), F.col("date_id").alias("__wanted_day"))
+    same = (F.col(year) == F.col("__wanted_year")) & (F.col("date_id") == F.col("__wanted_day"))
+    return fact.join(wanted, same, "left_semi").drop(year)
+
+
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """KPI 1: revenue, orders and units per month with month-over-month change."""
     by_day = (fact_orders.groupBy("date_id")

@@ -10,8 +10,12 @@ from the first order day to the last, the horizon is their number of days.
 the correctness queries compare); ``StarSchema.table(name)`` materialises it
 once per application as parquet in the shared checkpoint folder and reads it
 back, so downstream queries start from stored rows instead of re-running the
-lineage (and survive executor loss).  Landed orders and both facts are
-partitioned by year, so a filter on the year prunes folders.
+lineage (and survive executor loss).  A table is not built anew if the source
+changes under the same name.  Landed orders and both facts are partitioned by
+year: ``by_year(name)`` shows that column, so a filter on it prunes folders, and a
+join with filtered calendar days on (year, day) prunes them at run time.  The
+daily snapshots are stored once, with the columns of the fact; the raw snapshots
+of a derived ledger are a projection of it.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from stockflow.functions.calendar import date_key
 from stockflow.operators import dims, facts, ledger
 from stockflow.session import shared_dir
-from stockflow.sources import testdata
+from stockflow.sources import files, testdata
 
 TABLES = ["raw_orders", "dim_date", "dim_suppliers", "dim_products", "dim_warehouses", "fact_orders",
           "raw_inventory", "fact_inventory"]
@@ -75,6 +79,10 @@ class StarSchema:
             return self.table("raw_inventory")
         return self._memo(f"raw {name}", getattr(self.source, name))
 
+    def assortment(self) -> DataFrame:
+        """What is stocked where, of a source that derives its snapshots."""
+        return self._memo("assortment", lambda: self.source.assortment(self.raw("orders")).checkpoint(eager=True))
+
     # -- build plans -----------------------------------------------------------------
     def plan(self, name: str) -> DataFrame:
         return self._memo(f"plan {name}", lambda: self._build_plan(name))
@@ -96,36 +104,65 @@ class StarSchema:
             if hasattr(self.source, "inventory"):
                 return self.source.inventory()
             first, last = (d.isoformat() for d in self.order_days())
-            return ledger.stock_ledger(self.source.assortment(self.raw("orders")), self.raw("orders"), first, last)
+            return ledger.stock_ledger(self.assortment(), self.raw("orders"), first, last)
         if name == "fact_inventory":
             demand = facts.avg_daily_demand(self.raw("orders"), self.horizon_days)
-            return facts.fact_inventory(self.raw("inventory"), demand)
+            inventory = self.raw("inventory") if hasattr(self.source, "inventory") else self.plan("raw_inventory")
+            return facts.fact_inventory(inventory, demand)
         raise KeyError(name)
 
     # -- materialised tables -----------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         return self._memo(f"table {name}", lambda: self._materialize(name))
 
+    def by_year(self, name: str) -> DataFrame:
+        """A table stored by year, with its folder column :data:`YEAR`."""
+        if name not in BY_YEAR:
+            raise KeyError(f"{name} is not stored by year")
+        columns = self.table(name).columns
+        return self._memo(f"stored {name}", lambda: None).select(*columns, YEAR)
+
+    def rejects(self) -> DataFrame:
+        """(table, file, line, reason) of the source's lines that were left out."""
+        if getattr(self.source, "checked", False):
+            return self.source.rejects()
+        return self.spark.createDataFrame([], "table string, file string, line string, reason string")
+
     def _materialize(self, name: str) -> DataFrame:
+        derived = not hasattr(self.source, "inventory")
+        if name == "raw_inventory" and derived:
+            return self._snapshots()
         df = self.plan(name)
         columns, schema = df.columns, df.schema
         # The ledger's snapshot id is a function of (product, warehouse, date):
         # store the natural key only and derive the id on read.
-        derived = "inventory_id" in columns and not hasattr(self.source, "inventory")
+        derived = derived and "inventory_id" in columns
         if derived:
             df = df.drop("inventory_id")
         path = f"{self.root}/{name}"
         if name in BY_YEAR:
             day = "order_date" if name == "raw_orders" else "date"
             year = F.year(F.to_date(F.col(day))) if name.startswith("raw") else F.floor(F.col("date_id") / 10000).cast("int")
-            df.withColumn(YEAR, year).write.mode("overwrite").partitionBy(YEAR).parquet(path)
+            files.write_table(df.withColumn(YEAR, year), path, [YEAR])
         else:
-            df.write.mode("overwrite").parquet(path)
-        stored = self.spark.read.parquet(path)
+            files.write_table(df, path)
+        stored = files.read_table(self.spark, path)
         if derived:
-            key = date_key("date") if "date" in stored.columns else F.col("date_id")
-            stored = stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", key))
-        return stored.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in columns])
+            stored = stored.withColumn("inventory_id", ledger.inventory_key("product_id", "warehouse_id", F.col("date_id")))
+        typed = [F.col(c).cast(schema[c].dataType).alias(c) for c in columns]
+        if name in BY_YEAR:
+            self._memo(f"stored {name}", lambda: stored.select(*typed, YEAR))
+        return stored.select(*typed)
+
+    def _snapshots(self) -> DataFrame:
+        """The raw snapshots of a derived ledger: columns of the stored fact."""
+        schema = self.plan("raw_inventory").schema
+        self.table("fact_inventory")
+        day = F.make_date(F.floor(F.col("date_id") / 10000).cast("int"), F.floor(F.col("date_id") / 100).cast("int") % 100, F.col("date_id") % 100)
+        rows = self.by_year("fact_inventory").withColumn("date", day)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        self._memo("stored raw_inventory", lambda: rows.select(*typed, YEAR))
+        return rows.select(*typed)
 
     def _memo(self, key: str, build):
         with _lock:
