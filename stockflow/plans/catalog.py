@@ -217,7 +217,7 @@ def q_kpi1_last_year(spark, sf_dir):
     """KPI 1 over the weekends of the calendar's last year, reading that year's folder only."""
     ws = _ws(spark, sf_dir)
     dd = ws.table("dim_date")
-    days = dd.where((F.col("year") == ws.order_days()[1].year) & (F.col("is_weekend") == 1))
+    days = dd.where((F.col("full_date") >= f"{ws.order_days()[1].year}-01-01") & (F.col("is_weekend") == 1))
     return kpis.monthly_revenue(kpis.within(ws.by_year("fact_orders"), days), dd)
 
 
