@@ -8,8 +8,10 @@ of ids).  Both are uncompressed, so a reader maps a file and addresses any
 sequence without a copy.  Ids take two bytes when the vocabulary allows it.
 
 A task writes under a name of its own and reports it in the manifest, a stored
-table; files of attempts that failed are in no manifest.  ``read`` maps the
-shards of a manifest back and gives one row per document.
+table; files of attempts that failed are in no manifest and are removed when it
+is complete.  ``read`` maps the shards of a manifest back and gives one row per
+document: it takes a document's sequences from the map one batch at a time and
+checks the mask.
 
 Null or empty text: the end id alone.  Null doc_id: sorts first.  Equal
 doc_ids: ordered by a hash of the text; equal rows are interchangeable.  Empty
@@ -117,6 +119,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, length: i
     ordered = (documents(docs).repartitionByRange(F.col("doc_id").asc_nulls_first(), tie)
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie))
     manifest = stored(ordered.mapInArrow(shard, MANIFEST), "manifest")
+    sweep(manifest, folder)
     # One row per shard: a window over all of them is as small as the job's number of partitions.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
@@ -131,12 +134,39 @@ def open_shard(folder: str, name: str) -> tuple[pa.ipc.RecordBatchFileReader, pa
     return tuple(pa.ipc.open_file(put(f"{path}/{name}{kind}")) for kind in (".arrow", ".index.arrow"))
 
 
-def sequence(reader: pa.ipc.RecordBatchFileReader, n: int) -> tuple[np.ndarray, np.ndarray]:
+def sequence(reader: pa.ipc.RecordBatchFileReader, n: int) -> tuple[np.ndarray, pa.BooleanArray]:
     """Sequence ``n`` of a shard, and its mask: every batch but the last holds
-    BATCH_SEQUENCES sequences, so its place follows from ``n``."""
+    BATCH_SEQUENCES sequences, so its place follows from ``n``.  Both are views."""
     batch = reader.get_batch(n // BATCH_SEQUENCES)
     ids, mask = (batch.column(c)[n % BATCH_SEQUENCES].values for c in (0, 1))
-    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+    return ids.to_numpy(), mask
+
+
+class _Ids:
+    """The ids of a shard by position; one mapped batch at a time."""
+
+    def __init__(self, reader: pa.ipc.RecordBatchFileReader, length: int, tokens: int):
+        self.reader, self.size, self.tokens = reader, length * BATCH_SEQUENCES, tokens
+        self.k, self.ids = -1, np.empty(0)
+
+    def _batch(self, k: int) -> np.ndarray:
+        if k != self.k:
+            batch = self.reader.get_batch(k)
+            self.k, self.ids = k, batch.column(0).flatten().to_numpy()
+            real = min(len(self.ids), self.tokens - k * self.size)
+            mask = batch.column(1).flatten()
+            if mask.true_count != real or not mask[:real].true_count == real:
+                raise ValueError(f"batch {k}: the mask does not mark its {real} ids")
+        return self.ids
+
+    def crc32(self, start: int, n: int) -> int:
+        crc, end = 0, start + n
+        while start < end:
+            k = start // self.size
+            upto = min(end, (k + 1) * self.size)
+            crc = zlib.crc32(self._batch(k)[start - k * self.size:upto - k * self.size].astype("<u4"), crc)
+            start = upto
+        return crc
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
@@ -147,12 +177,11 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 sequences, index = open_shard(folder, row["name"])
-                parts = [sequences.get_batch(k) for k in range(sequences.num_record_batches)]
-                ids = np.concatenate([p.column(0).flatten().to_numpy() for p in parts])
+                ids = _Ids(sequences, sequences.schema.field("input_ids").type.list_size, row["n_tokens"])
                 for k in range(index.num_record_batches):
                     docs = index.get_batch(k)
                     start, size = docs.column(1).to_numpy(), docs.column(2).to_numpy()
-                    crc = [zlib.crc32(ids[s:s + n].astype("<u4")) for s, n in zip(start, size, strict=True)]
+                    crc = [ids.crc32(s, n) for s, n in zip(start.tolist(), size.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [docs.column(0), pa.array(start + row["shard_start"]), docs.column(2), pa.array(crc, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -162,6 +191,19 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     return manifest.repartition(tasks).mapInArrow(digests, ROWS)
 
 
+def sweep(manifest: DataFrame, folder: str) -> None:
+    """Remove files of shards that are not in the complete manifest."""
+    from pyarrow import fs
+
+    files, path = fs.FileSystem.from_uri(folder)
+    if files.get_file_info(path).type == fs.FileType.NotFound:
+        return
+    kept = {r["name"] for r in manifest.select("name").toLocalIterator()}   # a name a task
+    for info in files.get_file_info(fs.FileSelector(path)):
+        if info.base_name.split(".")[0] not in kept:
+            files.delete_file(info.path)
+
+
 def encode_to_files(docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE_LENGTH) -> DataFrame:
     folder = fresh_path(docs.sparkSession, "arrow")
     return read(write(docs, folder, vocabulary, length), folder)

@@ -47,17 +47,18 @@ class Packer:
         self.tiers, self.step_tokens = sorted(tiers), step_tokens
         self.base, self.sequences, self.steps = task << 32, 0, 0
         self.pools: dict[int, list[tuple[int, int]]] = {t: [] for t in self.tiers}  # tier -> sorted (length, piece key)
-        self.held: dict[int, tuple] = {}   # piece key -> (document, first id, number of ids)
+        self.held: dict[int, tuple] = {}   # piece key -> ((doc_id, its ids, those held, place of the first held), first id, number of ids)
         self.closed: list[tuple[int, list[tuple]]] = []   # (tier, pieces) without a step yet
         self.next_key = 0
         self.pooled = dict.fromkeys(self.tiers, 0)   # ids waiting in each tier
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        doc, top, n = (doc_id, ids), self.tiers[-1], len(ids)
-        for s in range(0, n - n % top, top):
-            self.closed.append((top, [(doc, s, top)]))
-        if n % top:
-            self._route(doc, n - n % top, n % top)
+        top, n = self.tiers[-1], len(ids)
+        whole = n - n % top
+        for s in range(0, whole, top):
+            self.closed.append((top, [((doc_id, n, ids, 0), s, top)]))
+        if whole < n:   # a remainder waits without the rest of its document
+            self._route((doc_id, n, ids[whole:].copy(), whole), whole, n - whole)
 
     def _route(self, doc: tuple, start: int, length: int) -> None:
         tier = next(t for t in self.tiers if t >= length)
@@ -112,9 +113,9 @@ class Packer:
         for tier, pieces in windows:
             load, step = heapq.heappop(groups)
             offset = 0
-            for (doc_id, ids), start, length in pieces:
-                crc = zlib.crc32(ids[start:start + length])
-                out.append((doc_id, start, length, crc, len(ids), self.base + self.sequences, offset, tier,
+            for (doc_id, n, ids, place), start, length in pieces:
+                crc = zlib.crc32(ids[start - place:start - place + length])
+                out.append((doc_id, start, length, crc, n, self.base + self.sequences, offset, tier,
                             self.base + self.steps + step))
                 offset += length
             heapq.heappush(groups, (load + offset, step))

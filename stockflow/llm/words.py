@@ -14,6 +14,8 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 9, 10, 11, 12, 13]] = True
+# Powers that a worker keeps; longer ones are made for the batch that needs them.
+KEPT = 1 << 21
 _powers: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -23,13 +25,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(n, base, dtype=np.uint64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return [p[:n] for p in _powers]
+def powers(n: int) -> list[np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse."""
+    if len(_powers[0]) >= n:
+        return [p[:n] for p in _powers]
+    out = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(min(KEPT, 2 * n) if n <= KEPT else n, base, dtype=np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    if n <= KEPT:
+        _powers[:] = out
+    return [p[:n] for p in out]
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +49,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate(([False], ~_GAP[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]
-    power, inverse = _power(len(data) + 1)
+    power, inverse = powers(len(data) + 1)
     run = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=run[1:])
     h = mix((run[end] - run[start]) * inverse[start] + (end - start).astype(np.uint64) * _M2)
