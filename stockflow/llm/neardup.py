@@ -20,9 +20,10 @@ pairs.  The first proposes, in each node, links to leaders, where tokens make a
 link likely; these are verified and give components.  The second looks at every
 pair of a node whose ends are still in different components and marks both ends
 if AGREE of 256 tokens are equal (almost five standard deviations below the
-threshold).  The marked classes of a node then meet with their full sets, all
-intersections are counted at once, and each class is tied to the least one it
-reaches: a task returns at most a row a class, never the pairs.
+threshold).  The marked classes of a node then meet with their full sets (in
+blocks of at most SHINGLES shingles, every two blocks), all intersections are
+counted at once, and each class is tied to the least one it reaches: a task
+returns at most a row a class, never the pairs.
 
 Null text or text without words: empty set, linked with nothing, its own
 component.  Repeated rows: one class.  Null doc_id: takes part; a component's id
@@ -49,6 +50,7 @@ PERCENT = 75
 TOKENS, TREES, BRANCHES = 256, 12, 2
 LIMIT, MAX_DEPTH = 512, 6
 AGREE = 159
+SHINGLES = 1 << 19   # of full sets in a block of a node that is compared exactly
 COLUMNS = 4096   # shingles at a time when a node's intersections are counted
 LIKELY = 184   # equal tokens that make a class follow a leader, and a link worth trying first
 _RNG = np.random.default_rng(5)
@@ -247,7 +249,14 @@ def exact(marked: DataFrame, members: DataFrame, percent: int = PERCENT) -> Data
         if held:
             yield tied()
 
-    rows = marked.join(members, "cls").select("node", "cls", "members")
+    # Nodes whose sets are long meet block by block.
+    size = members.select("cls", (F.length("members") / 8).cast("long").alias("n"))
+    sized = marked.join(size, "cls")
+    blocks = sized.groupBy("node").agg(F.ceil(F.sum("n") / SHINGLES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    met = (sized.join(blocks, "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "cls").distinct())
+    rows = met.join(members, "cls").select("node", "cls", "members")
     return rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -350,16 +359,16 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     kept.  Rows without an id stay.  An id on several rows stays if it leads a
     group, once for each of its texts."""
     ready(docs.sparkSession)
-    key = F.col("doc_id").cast("long")
+    row, key = F.struct(*docs.columns), F.col("row.doc_id").cast("long")   # other columns may have any name
+    rows = docs.select(row.alias("row"))
     linked = stored(link(docs).where("doc_id is not null").groupBy("doc_id")
                     .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")), "kept")
-    gone = bounded_broadcast(linked.where("not kept").select(F.col("doc_id").alias("__gone")))
-    left = docs.join(gone, key == F.col("__gone"), "left_anti")
-    several = stored(linked.where("kept and rows > 1").select(F.col("doc_id").alias("__several")), "several")
-    if several.isEmpty():
-        return left
-    several = bounded_broadcast(several)
-    columns = docs.columns
-    again = (left.join(several, key == F.col("__several"), "left_semi").groupBy("doc_id", "text")
-             .agg(F.first(F.struct(*columns)).alias("__row")).select("__row.*"))
-    return left.join(several, key == F.col("__several"), "left_anti").unionByName(again.select(*columns))
+    gone = bounded_broadcast(linked.where("not kept").select("doc_id"))
+    left = rows.join(gone, key == gone["doc_id"], "left_anti")
+    several = stored(linked.where("kept and rows > 1").select("doc_id"), "several")
+    if not several.isEmpty():
+        several = bounded_broadcast(several)
+        again = (left.join(several, key == several["doc_id"], "left_semi").groupBy("row.doc_id", "row.text")
+                 .agg(F.first("row").alias("row")).select("row"))
+        left = left.join(several, key == several["doc_id"], "left_anti").unionByName(again)
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -65,7 +65,7 @@ def near_docs():
 
 
 def test_components_of_documents(spark, make_docs, near_docs):
-    docs = make_docs(near_docs, {"cls": "1", "n": "2", "tokens": "'x'"}).repartition(5)
+    docs = make_docs(near_docs, {"cls": "1", "n": "2", "tokens": "'x'", "__gone": "1", "__several": "2", "row": "3", "kept": "4"}).repartition(5)
     got = neardup.link(docs).collect()
     want = brute_components(near_docs)
     assert len(got) == len(near_docs)
@@ -81,6 +81,7 @@ def test_components_of_documents(spark, make_docs, near_docs):
 
 def test_large_nodes_branch_and_meet_in_blocks(make_docs, near_docs, monkeypatch):
     monkeypatch.setattr(neardup, "LIMIT", 12)   # most groups are large now
+    monkeypatch.setattr(neardup, "SHINGLES", 300)   # and their sets too long for one block
     want = brute_components(near_docs)
     for r in neardup.link(make_docs(near_docs)).collect():
         if r["doc_id"] is not None:
