@@ -19,7 +19,9 @@ no rows; extra columns are not read by ``find`` and pass through ``redact``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -121,13 +123,13 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by kind as listed, then start."""
     text = text or ""
     out = [(kind, a, b, score(kind, text, a, b)) for kind in BASE_KINDS for a, b in _FINDERS[kind](text)]
-    taken = sorted((a, b) for _, a, b, _ in out)
-    for kind in ADDED_KINDS:
+    for kind in ADDED_KINDS:   # matches of one kind never overlap each other, only those before
+        taken = sorted((a, b) for _, a, b, _ in out)
+        starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
         for a, b in _FINDERS[kind](text):
-            s = score(kind, text, a, b)
-            if s >= REQUIRED and not any(a < y and x < b for x, y in taken):
+            before = bisect_left(starts, b)   # spans that begin before this one ends; the farthest end of them decides
+            if (not before or reach[before - 1] <= a) and (s := score(kind, text, a, b)) >= REQUIRED:
                 out.append((kind, a, b, s))
-                taken.append((a, b))
     return out
 
 
@@ -147,13 +149,13 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Counts and digests of the spans of each document."""
+    """Counts and digests of the spans of each document, and their scores in order."""
     f = find(docs)
     listed = lambda xs: F.array_join(F.transform(xs, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return f.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(listed(base), 256).alias("base_sha256"),
-                    listed(F.col("spans")).alias("spans"))
+                    listed(F.col("spans")).alias("spans"), F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 def mask(text: str) -> str:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -61,6 +62,7 @@ def test_report_and_redaction(make_docs):
     docs = make_docs([(1, "mail bob@x.org, +1 (555) 555-1234 or 10.0.0.1"), (2, None), (3, ""), (4, "é bob@x.org"), (4, "é bob@x.org")],
                      {"spans": "1", "kind": "'k'"})
     rows = pii.report(docs).collect()
+    assert all(len([x for x in r["scores"].split(",") if x]) == len([x for x in r["spans"].split(",") if x]) for r in rows)
     one = next(r for r in rows if r["doc_id"] == 1)
     assert (one["n_email"], one["n_ip"], one["n_card"], one["n_phone"]) == (1, 1, 0, 1)
     want = ",".join(base_spans("mail bob@x.org, +1 (555) 555-1234 or 10.0.0.1"))
@@ -74,6 +76,16 @@ def test_report_and_redaction(make_docs):
     assert pii.report(make_docs([])).count() == 0
 
 
+def test_many_spans_take_linear_time():
+    def seconds(n):
+        text = " ".join(f"call phone 555-{k % 900 + 100}-{k % 9000 + 1000}" for k in range(n))
+        at = time.process_time()
+        assert len(pii.spans(text)) >= n * 0.9
+        return time.process_time() - at
+    seconds(100)
+    assert seconds(16_000) < 12 * seconds(2_000) + 0.5
+
+
 @pytest.fixture(scope="module")
 def prose():
     rng = random.Random(5)
