@@ -14,12 +14,12 @@ Nearness is the inner product in double precision; vectors are lengthened by one
 component that gives all of them the largest norm, so that walking by angle
 finds large products.  Rows with equal vectors are one candidate with all its
 ids: of those only the k + 1 smallest ids can appear in an answer, which is
-exact, not a cap.  A leaf of any size is dealt out in blocks of BLOCK vectors,
-each meeting all of the leaf's queries.
+exact, not a cap.  A leaf of any size is dealt out in blocks of BLOCK vectors, and
+its queries in blocks of BLOCK too; every two blocks meet.
 
 Null vectors, zero vectors and vectors with null or non-finite components, and
-rows with a null id, take no part.  Vectors must agree in length (the commonest
-one counts, others take no part).  Repeated rows are candidates each.  An empty
+rows with a null id, take no part.  Vectors of different lengths have no product:
+each length is a table of its own.  Repeated rows are candidates each.  An empty
 table gives no rows.  Other columns are not read.
 """
 
@@ -133,21 +133,22 @@ def search(rows: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K, trees
     other rows found."""
     spark = rows.sparkSession
     ready(spark)
-    out_schema = "query_id long, rank int, vec_id long, score double"
     part = usable(rows)
     kind = "<f4" if dict(rows.dtypes)["embedding"] == "array<float>" else "<f8"   # as stored, so nothing is lost on the way
-    widths = part.groupBy(F.size("v").alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("most")
-    ).orderBy(F.desc("n"), "w").limit(1).collect()
-    if not widths:
-        return spark.createDataFrame([], out_schema)
-    width, most = widths[0]["w"], widths[0]["most"] * (1 + 1e-12)
-    # One row per distinct vector.  Sorting the ids by slices first keeps any group bounded: at most k + 1 a slice.
-    smallest = lambda c: F.slice(F.array_sort(c), 1, k + 1)
-    slices = (part.where(F.size("v") == width)
-              .groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("slice"))
-              .agg(smallest(F.collect_list("vec_id")).alias("ids")))
-    distinct = stored(slices.groupBy("v").agg(smallest(F.flatten(F.collect_list("ids"))).alias("ids"))
+    lengths = part.groupBy(F.size("v").alias("w")).agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("most"))
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for r in lengths.orderBy("w").toLocalIterator():   # nearly always one length
+        out = out.unionByName(_search(part.where(F.size("v") == r["w"]), kind, r["w"], r["most"] * (1 + 1e-12), is_query, k, trees, leaf, search, sample, seed))
+    return out
+
+
+def _search(part: DataFrame, kind: str, width: int, most: float, is_query: str, k: int, trees: int, leaf: int, search: int, sample: int,
+            seed: int) -> DataFrame:
+    """The answers among vectors (vec_id, v) of one length; ``most`` is the largest squared norm."""
+    spark = part.sparkSession
+    # One row per distinct vector with its k + 1 smallest ids; the limit acts before the shuffle, so no group grows.
+    first = part.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= k + 1)
+    distinct = stored(first.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
                       .withColumn("class", F.element_at("ids", 1)), "vectors")
     chosen = distinct.orderBy(F.xxhash64("class"), "class").limit(sample).select("v").collect()
     forest = Forest(lengthened(np.array([r["v"] for r in chosen], dtype=float), most), trees, leaf, seed)
@@ -171,16 +172,19 @@ def search(rows: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K, trees
 
     place = "tree int, leaf long, class long, v binary"
     filed = distinct.select("class", "v").mapInPandas(file, place)
-    queries = part.where(F.expr(is_query) & (F.size("v") == width)).select("vec_id", "v")
-    asked = queries.groupBy("v").agg(F.min("vec_id").alias("class"))
-    probes = asked.select("class", "v").mapInPandas(probe, place)
+    queries = part.where(F.expr(is_query)).select("vec_id", "v")
+    asked = stored(queries.groupBy("v").agg(F.min("vec_id").alias("class")), "asked")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))   # few rows, but much work for each
+    probes = stored(asked.select("class", "v").repartition(tasks, "class").mapInPandas(probe, place), "probes")
 
     sizes = stored(filed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")), "leaf-sizes")   # a row per leaf
-    blocks = sizes.select("tree", "leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    blocked = (filed.join(F.broadcast(blocks), ["tree", "leaf"])
-               .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).drop("blocks"))
-    asking = (probes.join(F.broadcast(blocks), ["tree", "leaf"])
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
+    wanted = probes.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("q"))
+    parts_of = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    blocks = F.broadcast(sizes.join(wanted, ["tree", "leaf"]).select("tree", "leaf", parts_of("n").alias("blocks"), parts_of("q").alias("turns")))
+    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    blocked = filed.join(blocks, ["tree", "leaf"]).withColumn("block", own("blocks")).withColumn("turn", every("turns")).drop("blocks", "turns")
+    asking = probes.join(blocks, ["tree", "leaf"]).withColumn("turn", own("turns")).withColumn("block", every("blocks")).drop("blocks", "turns")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -195,7 +199,7 @@ def search(rows: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K, trees
                                          "score": np.take_along_axis(s, best, axis=1).ravel()}))
         return pd.concat(out) if out else pd.DataFrame({"asked": [], "class": [], "score": []})
 
-    keys = ["tree", "leaf", "block"]
+    keys = ["tree", "leaf", "block", "turn"]
     met = blocked.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(meet, "asked long, class long, score double")
     # Best classes of each asked vector, then their ids, then the answers of every query with that vector.
     by_score = [F.col("score").desc(), F.col("class")]

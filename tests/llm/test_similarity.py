@@ -201,6 +201,23 @@ def test_neighbours(spark):
     assert [i for i, _ in got[320]] == [i for i in range(300, 321) if i != 320]   # ties go to the least ids
 
 
+def test_blocks_of_queries_lengths_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=6).tolist()) for k in range(300)] + [(k, rng.normal(size=3).tolist()) for k in range(300, 340)]
+    rows += [(k, rows[0][1]) for k in range(400, 500)]   # one vector very often
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), leaf=64, search=10 ** 6).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, v in ((k, np.array(x)) for k, x in rows if k % 20 == 0):
+        near = sorted((-float(np.dot(v, x)), k) for k, x in rows if k != q and len(x) == len(v))[:20]
+        have = sorted(got[q])
+        assert [h[0] for h in have] == list(range(1, len(near) + 1)) and len(near) == 20
+        assert [h[2] for h in have] == pytest.approx([-s for s, _ in near])
+        if len(v) == 6 and q in (0, 400):
+            assert [h[1] for h in have] == [k for k in [0, *range(400, 500)] if k != q][:20]
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<double>"
     assert ann.search(spark.createDataFrame([], schema)).count() == 0
