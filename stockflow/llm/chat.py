@@ -14,7 +14,8 @@ conversation and position, so a long one spans many tasks.  A task sums up the
 conversations at its two ends as a matrix (the best score from any state before
 its lines to any state at their end); chaining the matrices fixes the states at
 the seams, at most two rows a task; then every task decodes its lines exactly.
-A turn that crosses a seam is returned in pieces; only the first opens it.
+Pieces of a turn that crosses seams are put together afterwards, so a turn is one
+row and the result does not depend on the number of tasks.
 
 Null text is an empty line; null conv_id or positions sort first, and all rows
 without conv_id are one transcript; equal positions are ordered by their text
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import ready, stored
@@ -202,16 +203,11 @@ def seams(edges: list, hmm: Hmm) -> dict[tuple[int, str], tuple[int | None, int
     return out
 
 
-def render(role: str, opens: bool, lines: list[str]) -> str:
-    """Canonical form: a role header where a turn opens, then its text."""
-    body = "\n".join(lines).strip("\n")
-    return (f"<|{role}|>\n" if opens else "") + body + "\n"
-
-
 def parse(lines: DataFrame, hmm: Hmm) -> DataFrame:
     """Turns of transcripts given as (conv_id long, position..., line): columns
-    ``major`` and ``minor`` order the lines.  One row per turn (or piece):
-    conv_id, first (its place among the lines of its task), role, opens, rendered."""
+    ``major`` and ``minor`` order the lines.  One row per turn, whatever tasks its
+    lines were in: conv_id, major and minor of its first line, role, n_lines,
+    rendered."""
     spark = lines.sparkSession
     ready(spark)
     key = F.coalesce(F.col("conv_id").cast("string"), F.lit("-"))
@@ -239,21 +235,47 @@ def parse(lines: DataFrame, hmm: Hmm) -> DataFrame:
         for rows in _groups(batches, "part"):
             part, shown, text = int(rows["part"].iloc[0]), rows["symbol"].to_numpy(), rows["line"].tolist()
             conv_id, conv = rows["conv_id"].tolist(), rows["conv"].tolist()
-            major, out = rows["major"].tolist(), []
+            major, minor, out = rows["major"].tolist(), rows["minor"].tolist(), []
             for a, z in _runs(rows):
-                states = hmm.path(shown[a:z], *fixed.get((part, conv[a]), (None, None)))
+                before, end = fixed.get((part, conv[a]), (None, None))
+                states = hmm.path(shown[a:z], before, end)
                 begins = [k for k in range(z - a) if k == 0 or STATES[states[k]][1] == PARTS[0]]
                 for b, e in zip(begins, [*begins[1:], z - a], strict=True):
                     role, opens = STATES[states[b]][0], STATES[states[b]][1] == PARTS[0]
                     body = text[a + b:a + e]
                     if opens:
                         body[0] = body[0][marker(body[0])[1]:]
-                    out.append((None if pd.isna(conv_id[a]) else int(conv_id[a]), part, a + b, major[a + b], role, bool(opens), e - b,
-                                render(role, opens, body)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.string()]
-            names = ["conv_id", "part", "first", "major", "role", "opens", "n_lines", "rendered"]
-            yield pa.RecordBatch.from_arrays([pa.array([None if k == 3 and pd.isna(x) else int(x) if k == 3 else x for x in c], t)
-                                              for k, (c, t) in enumerate(zip(zip(*out, strict=True), kinds, strict=True))], names=names)
-
-    return (dealt.select("part", "conv_id", "conv", "major", "line", "symbol")
-            .mapInArrow(decode, "conv_id long, part int, first long, major long, role string, opens boolean, n_lines long, rendered string"))
+                    goes_on = b == 0 and before is not None and not opens
+                    out.append((conv_id[a], part, a + b, major[a + b], minor[a + b], role, goes_on, a + b == 0 or a + e == len(rows), e - b, "\n".join(body)))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array([None if t == pa.int64() and pd.isna(x) else int(x) if t == pa.int64() else x for x in c], t)
+                                              for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=PIECE.replace(",", "").split()[::2])
+
+    pieces = stored(dealt.select("part", "conv_id", "conv", "major", "minor", "line", "symbol").mapInArrow(decode, PIECE), "pieces")
+    return _turns(pieces)
+
+
+PIECE = ("conv_id long, part int, first long, major long, minor long, role string, goes_on boolean, at_seam boolean, "
+         "n_lines long, body string")
+
+
+def _turns(pieces: DataFrame) -> DataFrame:
+    """Pieces of turns that tasks divided are put together again.  Only the first and
+    last piece of a task can be such, so what is ordered is two rows a task."""
+    seam = pieces.where("at_seam").select("conv_id", "part", "first", "goes_on")
+    order = Window.partitionBy("conv_id").orderBy("part", "first")
+    opened = F.last(F.when(~F.col("goes_on"), F.struct("part", "first")), ignorenulls=True).over(order)
+    anchors = seam.withColumn("anchor", opened).where("goes_on").select(F.col("part").alias("p_"), F.col("first").alias("f_"), "anchor")
+    anchored = (pieces.join(anchors, (F.col("part") == F.col("p_")) & (F.col("first") == F.col("f_")), "left")
+                .withColumn("anchor", F.coalesce("anchor", F.struct("part", "first"))).drop("p_", "f_"))
+    divided = anchors.select("anchor").distinct().select(F.col("anchor.part").alias("p_"), F.col("anchor.first").alias("f_"))
+    same = (F.col("anchor.part") == F.col("p_")) & (F.col("anchor.first") == F.col("f_"))
+    whole = anchored.join(divided, same, "left_anti").select("conv_id", "major", "minor", "role", "n_lines", "body")
+    piece = F.struct("part", "first", "conv_id", "major", "minor", "role", "n_lines", "body")
+    joined = (anchored.join(divided, same, "left_semi").groupBy("anchor").agg(F.array_sort(F.collect_list(piece)).alias("all"))
+              .select(*[F.col("all")[0][c].alias(c) for c in ("conv_id", "major", "minor", "role")],
+                      F.aggregate("all", F.lit(0).cast("long"), lambda n, x: n + x["n_lines"]).alias("n_lines"),
+                      F.array_join(F.transform("all", lambda x: x["body"]), "\n").alias("body")))
+    body = F.trim("body", F.lit("\n"))   # canonical: a header, the text without blank lines around it
+    return whole.unionByName(joined).select("conv_id", "major", "minor", "role", "n_lines",
+                                            F.concat(F.lit("<|"), "role", F.lit("|>\n"), body, F.lit("\n")).alias("rendered"))
