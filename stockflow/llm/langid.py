@@ -8,9 +8,10 @@ least proportion first, while that raises the penalised likelihood; the
 prediction is the largest proportion left.
 
 The distributions are learned from a sample of every labelled language: its
-documents are kept by a hash of their id so that about SAMPLE_DOCS remain (all of
-them for rarer languages).  Documents above SAMPLE_CHARS characters are used only
-where a language has no shorter one.
+documents, of any length, are kept by a hash of their id and text so that about
+SAMPLE_DOCS remain (all of them for rarer languages).  Every distinct label is a
+language: it costs 0.25 MB at the driver and in each worker, and prediction time
+grows with the square of their number, so a label column should be clean.
 
 Null text, or text without a letter: ``und``, score 0.  No labelled document at
 all: the same.  Repeated rows get equal results; extra columns are not read.
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from stockflow.llm.common import id_bucket, ready
 
 SAMPLE_DOCS = 1500
-SAMPLE_CHARS = 20_000
 BITS = 15
 SMOOTHING = 0.1
 EM_STEPS = 12
@@ -95,12 +95,10 @@ def fit(docs: DataFrame, held_out: Column, sample_docs: int = SAMPLE_DOCS) -> Mo
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.col("lang").cast("string").alias("lang"))
     d = d.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    short = F.length("text") <= SAMPLE_CHARS
-    known = d.groupBy("lang").agg(F.count_if(short).alias("short"), F.count(F.lit(1)).alias("all")).collect()   # a row per language
+    known = d.groupBy("lang").count().collect()   # a row per language
     if not known:
         return Model([], np.ones((1, 1 << BITS)))
-    share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, sample_docs / (r["short"] or r["all"])))])
-    fit_for = short | F.col("lang").isin(*[r["lang"] for r in known if not r["short"]])
+    share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
     lucky = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,7 +110,7 @@ def fit(docs: DataFrame, held_out: Column, sample_docs: int = SAMPLE_DOCS) -> Mo
         rows = [(lang, int(k), int(c[k])) for lang, c in sums.items() for k in np.flatnonzero(c)]
         yield pd.DataFrame(rows, columns=["lang", "gram", "n"])
 
-    counted = (d.where(fit_for & lucky).select("lang", "text")
+    counted = (d.where(lucky).select("lang", "text")
                .mapInPandas(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     languages = sorted(r["lang"] for r in known)
     row = {lang: k for k, lang in enumerate(languages)}

@@ -118,6 +118,69 @@ def test_toxicity_on_held_out_documents(spark, make_docs, prose):
     assert toxicity.score_documents(make_docs([]), labels).count() == 0
 
 
+def test_long_labelled_texts_teach(spark, make_docs, prose):
+    """Toxic documents above 20,000 characters among short ordinary ones."""
+    long = lambda: " ".join(prose(True) for _ in range(40))
+    rows = [(k, long() if k % 4 == 0 else prose(False)) for k in range(160)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(make_docs(rows), labels).collect()}
+    assert min(len(t) for k, t in rows if k % 4 == 0) > 20_000
+    assert sum(got[k]["predicted"] == int(k % 4 == 0) for k, _ in rows if got[k]["held_out"]) >= 0.95 * sum(r["held_out"] for r in got.values())
+
+
+def test_each_language_has_its_toxic_words():
+    rng = random.Random(12)
+    stems = {"a": ["ka", "lo", "mi", "tu", "re"], "b": ["stru", "gh", "wen", "olp", "ert"], "c": ["éa", "çou", "eau", "ir", "ment"]}
+    bad = {"a": "kalomitu", "b": "ghwenstru", "c": "eauçouir"}   # ordinary syllables: typical of a class in one language only
+
+    def text(lang, toxic):
+        w = ["".join(rng.choices(stems[lang], k=rng.randrange(1, 4))) for _ in range(rng.randrange(60, 150))]
+        for _ in range(5 if toxic else 0):
+            w[rng.randrange(len(w))] = bad[lang] + rng.choice(stems[lang])
+        return " ".join(w)
+    fit = [(lang, toxic, text(lang, toxic)) for lang in "abc" for toxic in [1] * 80 + [0] * 400]
+    fit += [("a", 0, fit[90][2])] * 50   # copies are no evidence
+    model = toxicity.learn([t for _, c, t in fit if c], [t for _, c, t in fit if not c])
+    for lang in "abc":
+        found = model.scores([text(lang, 1) for _ in range(50)]) >= toxicity.THRESHOLD
+        wrong = model.scores([text(lang, 0) for _ in range(200)]) >= toxicity.THRESHOLD
+        assert found.mean() >= 0.9 and wrong.mean() <= 0.02, lang
+
+
+def test_dictionary_pieces_equal_a_plain_count():
+    from collections import Counter
+
+    rng = random.Random(13)
+    texts = [[" ".join("".join(rng.choices("abcde", k=rng.randrange(3, 9))) for _ in range(40)) for _ in range(30)] for _ in range(2)]
+    texts[0] = [t + " zzyzzyx badbadly" for t in texts[0]]
+    toxicity._coded.cache_clear()
+    got = set(toxicity.pieces(texts[0], texts[1]).split(b"\0")) - {b""}
+    grams = lambda t: Counter(g for k in range(len(t) - 5) if b" " not in (g := t[k:k + 6])[1:-1])
+    flat = [[f" {t} ".encode() for t in ts] for ts in texts]
+    docs = [Counter(g for t in ts for g in set(grams(t))) for ts in flat]
+    rates = [Counter(), Counter()]
+    for rate, ts in zip(rates, flat, strict=True):
+        for t in ts:
+            for g, n in grams(t).items():
+                rate[g] += min(toxicity.MOST, n * toxicity.STRETCH / max(len(t) - 5, toxicity.STRETCH // 4))
+    marked = set()
+    for g, n in docs[0].items():
+        m, both = docs[1][g], (n + docs[1][g]) / 60
+        if n >= 3 and n / 30 - m / 30 >= 5 * math.sqrt(both * (1 - both) / 15) and (rates[0][g] + 0.5) / 31 >= math.e * (rates[1][g] + 0.5) / 31:
+            marked.add(g)
+    want = set()
+    for t in texts[0]:
+        t, k = f" {t} ".encode(), 0
+        while k <= len(t) - 6:
+            e = k
+            while e <= len(t) - 6 and t[e:e + 6] in marked:
+                e += 1
+            if e > k:
+                want.add(t[k:e + 5])
+            k = max(e, k + 1)
+    assert got == want and any(b"zzyzzyx" in w for w in want)
+
+
 def test_languages_on_held_out_documents(make_docs):
     rng = random.Random(6)
     stems = {"xx": ["ka", "lo", "mi"], "yy": ["stru", "gh", "wen"], "zz": ["é", "çou", "eau"]}
