@@ -131,10 +131,10 @@ def test_long_labelled_texts_teach(spark, make_docs, prose):
 def test_each_language_has_its_toxic_words():
     rng = random.Random(12)
     stems = {"a": ["ka", "lo", "mi", "tu", "re"], "b": ["stru", "gh", "wen", "olp", "ert"], "c": ["éa", "çou", "eau", "ir", "ment"]}
-    bad = {"a": "kalomitu", "b": "ghwenstru", "c": "eauçouir"}   # ordinary syllables: typical of a class in one language only
+    bad = {"a": "kalomitu", "b": "ghwenstru", "c": "eauçouir"}   # of ordinary syllables, but more of them
 
     def text(lang, toxic):
-        w = ["".join(rng.choices(stems[lang], k=rng.randrange(1, 4))) for _ in range(rng.randrange(60, 150))]
+        w = ["".join(rng.choices(stems[lang], k=rng.randrange(1, 3))) for _ in range(rng.randrange(60, 150))]
         for _ in range(5 if toxic else 0):
             w[rng.randrange(len(w))] = bad[lang] + rng.choice(stems[lang])
         return " ".join(w)
