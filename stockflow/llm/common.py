@@ -12,7 +12,7 @@ from stockflow.session import ensure_checkpoint_dir, shared_dir, ship_package
 
 # Rows and bytes per Arrow batch: a batch of whole texts must fit a Python worker.
 ARROW_ROWS = 1000
-ARROW_BYTES = 32 << 20
+ARROW_BYTES = 4 << 20
 
 
 def ready(spark: SparkSession) -> None:

@@ -26,9 +26,9 @@ import numpy as np
 
 from stockflow.llm.words import _INVERSE, _M2, mix, powers
 
-# Pieces of one generation, about 45 bytes each; bytes of text that are cut at a time.
-REMEMBERED = 1_000_000
-SLAB = 4 << 20
+# Pieces of one generation, about 60 bytes each; bytes of text that are cut at a time.
+REMEMBERED = 300_000
+SLAB = 1 << 20
 
 _SEPARATOR, _WHITE, _LETTER, _DIGIT, _MARK, _APOSTROPHE, _OTHER = range(7)
 _CLASS = np.full(256, _OTHER, dtype=np.uint8)
@@ -109,7 +109,7 @@ class Pieces:
         n = self.count + len(h)
         if 2 * n > self.mask:
             old, at = self.keys, self.place
-            self.mask = (1 << (2 * n).bit_length() + 1) - 1
+            self.mask = (1 << (3 * n).bit_length()) - 1
             self.keys, self.place = np.zeros(self.mask + 1, dtype=np.uint64), np.zeros(self.mask + 1, dtype=np.int32)
             self._insert(old[old != 0], at[old != 0])
         for name, wanted in (("begin", n), ("length", n), ("ids", self.used + len(ids))):

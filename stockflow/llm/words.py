@@ -15,7 +15,7 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 9, 10, 11, 12, 13]] = True
 # Powers that a worker keeps; longer ones are made for the batch that needs them.
-KEPT = 1 << 21
+KEPT = 1 << 20
 _powers: list[np.ndarray] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
