@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,18 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def slabs(texts: list[str | None], limit: int) -> Iterator[list[str | None]]:
+    """The texts in order in parts of at most ``limit`` characters, or one text."""
+    part, held = [], 0
+    for t in texts:
+        n = len(t or "")
+        if part and held + n > limit:
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += n
+    if part:
+        yield part
 
 
 def column_values(batch: pa.RecordBatch, name: str) -> list:

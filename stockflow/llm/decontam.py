@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import column_values, documents, ready
+from stockflow.llm.common import column_values, documents, ready, slabs
 
 Q = 8
 SEGMENT = 80
@@ -45,6 +45,7 @@ EDIT_RATE = 0.075
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
 ALIGNED = 10_000   # windows aligned at a time
+SLAB = 1 << 18   # characters of texts searched at a time
 _B1 = np.uint64(0x9E3779B97F4A7C15)
 _B2, _B4 = (np.uint64(pow(int(_B1), k, 1 << 64)) for k in (2, 4))
 _TABLE_BITS = 20
@@ -153,6 +154,9 @@ class Index:
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text: (item, start, end, edits) of its passages, in code points."""
+        return [hits for part in slabs(texts, SLAB) for hits in self._search(part)]
+
+    def _search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
         if not len(self.hash) and not self.short:
             return found

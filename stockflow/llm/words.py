@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from stockflow.llm.common import slabs
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -60,6 +62,10 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """Each text's distinct shingle hashes, sorted: ``size`` words each, or all
     words as one if there are fewer; empty without words."""
+    return [s for part in slabs(texts, KEPT // 2) for s in _shingle_sets(part, size)]
+
+
+def _shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     h, at = word_hashes(texts)
     n = len(h) - size + 1
     if n > 0:
