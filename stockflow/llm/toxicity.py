@@ -48,7 +48,7 @@ GRAM = 6
 # and so much more often for their length (natural log of the ratio).
 SIGNIFICANT, LEAST_ODDS, LEAST_DOCS = 5.0, 1.0, 3
 # Kinds of texts: hashed trigrams, centres at first, how alike (cosine) two centres are one, toxic texts that a kind needs.
-TRIGRAMS, CENTRES, ALIKE, LEAST_TOXIC = 4096, 16, 0.75, 8
+TRIGRAMS, CENTRES, ALIKE, LEAST_TOXIC = 1024, 16, 0.75, 8
 DICTIONARY_BYTES = 16_384
 # Bytes of text in which an n-gram's occurrences are counted, and the most that count.
 STRETCH, MOST = 1024, 4.0
@@ -70,12 +70,12 @@ def windows(tokens: list[str], size: int = WINDOW) -> list[bytes]:
     return [OPENING + f" {' '.join(tokens[k:k + size])} ".encode() for k in range(0, len(tokens), size)] or [OPENING]
 
 
-@lru_cache(maxsize=4 * SAMPLE_DOCS)
-def _coded(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """A text's bytes, the n-gram at each place as a number (0 unless within one word
-    and the spaces around it), the distinct ones, and how often each occurs in STRETCH
-    bytes, so that a long text does not count for holding everything."""
-    flat = f" {' '.join(words(text))} ".encode()
+def _flat(text: str) -> bytes:
+    return f" {' '.join(words(text))} ".encode()
+
+
+def _codes(flat: bytes) -> np.ndarray:
+    """The n-gram at each place as a 32-bit hash (0 unless within one word and the spaces around it)."""
     data = np.frombuffer(flat, dtype=np.uint8)
     n = max(0, len(data) - GRAM + 1)
     code, broken = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=bool)
@@ -83,17 +83,26 @@ def _coded(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         code = code << np.uint64(8) | data[k:k + n].astype(np.uint64)
         if 0 < k < GRAM - 1:
             broken |= data[k:k + n] == 32
+    code = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
     code[broken] = 0
+    return code
+
+
+@lru_cache(maxsize=4 * SAMPLE_DOCS)
+def _coded(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """A text's distinct n-grams, and how often each occurs in STRETCH bytes, so that a
+    long text does not count for holding everything."""
+    code = _codes(_flat(text))
     distinct, times = np.unique(code[code > 0], return_counts=True)
-    return flat, code, distinct, np.minimum(times * (STRETCH / max(n, STRETCH // 4)), MOST)
+    return distinct, np.minimum(times * (STRETCH / max(len(code), STRETCH // 4)), MOST).astype(np.float32)
 
 
 def pieces(own: list[str], other: list[str]) -> bytes:
     """Stretches of ``own`` made of n-grams over-represented against ``other``,
     rarest first (zstandard reaches the end of a dictionary most cheaply)."""
     def shown(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        codes, at = np.unique(np.concatenate([_coded(t)[2] for t in texts]), return_inverse=True)
-        rate = np.bincount(at, weights=np.concatenate([_coded(t)[3] for t in texts]), minlength=len(codes))
+        codes, at = np.unique(np.concatenate([_coded(t)[0] for t in texts]), return_inverse=True)
+        rate = np.bincount(at, weights=np.concatenate([_coded(t)[1] for t in texts]), minlength=len(codes))
         return codes, np.bincount(at, minlength=len(codes)), rate
 
     (here, n, rate), (there, *others) = shown(own), shown(other)
@@ -107,8 +116,8 @@ def pieces(own: list[str], other: list[str]) -> bytes:
     marked = here[typical]
     found: Counter[bytes] = Counter()
     for t in own:
-        flat, code, *_ = _coded(t)
-        edges = np.diff(np.concatenate(([0], np.isin(code, marked).astype(np.int8), [0])))
+        flat = _flat(t)
+        edges = np.diff(np.concatenate(([0], np.isin(_codes(flat), marked).astype(np.int8), [0])))
         for start, end in zip(np.flatnonzero(edges > 0).tolist(), np.flatnonzero(edges < 0).tolist(), strict=True):
             found[flat[start:end + GRAM - 1]] += 1
     kept, size = [], 0
@@ -170,7 +179,7 @@ def shares(text: str | None) -> np.ndarray:
     """Square roots of a text's shares of letter trigrams: a vector of length 1 (or 0)."""
     data = np.frombuffer(f" {' '.join(words(text))} ".encode(), dtype=np.uint8).astype(np.uint32)
     code = (data[:-2] * np.uint32(0x9E3779B1) ^ data[1:-1] * np.uint32(0x85EBCA6B) ^ data[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
-    n = np.bincount(code >> np.uint32(20), minlength=TRIGRAMS).astype(np.float32)
+    n = np.bincount(code >> np.uint32(22), minlength=TRIGRAMS).astype(np.float32)
     return np.sqrt(n / max(n.sum(), 1))
 
 
