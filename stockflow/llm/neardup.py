@@ -9,11 +9,17 @@ branches the classes by one token at its root, so a node holds the classes that
 share it.  Nodes of at most LIMIT classes are compared exhaustively.  Larger
 ones branch again, each class into BRANCHES children by further tokens that the
 node's path chooses, until they are small, tight (most classes resemble the
-node's first) or MAX_DEPTH deep; what is still large is compared in blocks.  A
-pair at the threshold shares a root's token with probability 0.75 and stays
-together at a later branching with 1 - 0.25^2, so at depth d it escapes 12 trees
-with probability (1 - 0.75 x 0.9375^d)^12: 6e-8 at the root, 1e-5 at depth 3.
-Nodes are pairs of numbers until classes meet; sketches join them only then.
+node's first) or MAX_DEPTH deep.  A pair at the threshold shares a root's token
+with probability 0.75 and stays together at a later branching with 1 - 0.25^2, so
+at depth d it escapes 12 trees with probability (1 - 0.75 x 0.9375^d)^12: 6e-8 at
+the root, 1e-5 at depth 3, the last.  Nodes are pairs of numbers until classes
+meet; sketches join them only then.
+
+A node that is still large and whose classes mostly lie in one component is
+compared in blocks, the few outside against all.  Where more than LIMIT lie
+outside (texts of one template that are alike but not linked), blocks would be all
+pairs; its classes are split anew by the rarest shingles of their full sets
+(``shared_prefixes``), which loses no link.
 
 Comparison has two rounds, so that groups of copies are never expanded into
 pairs.  The first proposes, in each node, links to leaders, where tokens make a
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import column_values, documents, ready, stored
@@ -48,7 +54,7 @@ from stockflow.operators.joins import bounded_broadcast
 SHINGLE = 5
 PERCENT = 75
 TOKENS, TREES, BRANCHES = 256, 12, 2
-LIMIT, MAX_DEPTH = 512, 6
+LIMIT, MAX_DEPTH = 512, 3
 AGREE = 159
 SHINGLES = 1 << 19   # of full sets in a block of a node that is compared exactly
 COLUMNS = 4096   # shingles at a time when a node's intersections are counted
@@ -320,8 +326,13 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     rooted = (nodes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("root", F.coalesce("root", "cls")))
     mixed = rooted.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("node")
-    rooted = stored(rooted.join(mixed, "node", "left_semi"), "mixed")
-    marked = stored(_compare(_across(rooted), reps, roots=True), "marked")
+    rooted = stored(rooted.join(mixed, "node", "left_semi").select("node", "cls", "size", "root"), "mixed")
+    crowded = stored(_crowded(rooted), "crowded")
+    if not crowded.isEmpty():
+        crowd = stored(rooted.join(crowded, "node", "left_semi").select("cls", "root").distinct(), "crowd")
+        lists = shared_prefixes(crowd, full_sets(docs, reps, crowd.select("cls"), size), percent)
+        rooted = rooted.join(crowded, "node", "left_anti").unionByName(lists)
+    marked = _once(stored(_compare(_across(rooted), reps, roots=True), "marked"))
     if not marked.isEmpty():
         ties = exact(marked, full_sets(docs, reps, marked.select("cls").distinct(), size), percent)
         roots = stored(components(links.unionByName(ties)), "roots")
@@ -336,14 +347,67 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
+def _commonest(large: DataFrame) -> DataFrame:
+    """(node, main, all, most): the commonest component of each node, its classes and that component's."""
+    counts = large.groupBy("node", "root").agg(F.count(F.lit(1)).alias("c"))
+    return counts.groupBy("node").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
+
+
+def _crowded(rooted: DataFrame) -> DataFrame:
+    """(node): the large nodes with more than LIMIT classes outside their commonest component."""
+    return _commonest(rooted.where(F.col("size") > LIMIT)).where(F.col("all") - F.col("most") > LIMIT).select("node")
+
+
+def _once(nodes: DataFrame) -> DataFrame:
+    """Of the nodes (node, cls, ...) that hold the same classes, one."""
+    held = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("held"), F.bit_xor(F.xxhash64("cls")).alias("print"))
+    return nodes.join(held.groupBy("held", "print").agg(F.min("node").alias("node")).select("node"), "node", "left_semi")
+
+
+def shared_prefixes(crowd: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, cls, size, root): the classes of ``crowd`` (cls, root) by the rare
+    shingles they share, so that any two linked ones of different components meet.
+
+    With the shingles of every set in one order, rarest first, the first shingle that
+    two linked sets share leaves either enough after it for the overlap, and the
+    smaller set enough for a partner as large as itself.  So a shingle's list needs a
+    set only up to that place, and only lists where such a smaller set stands are
+    nodes.  Sets of one template share none but its common shingles, which come last:
+    without links their rows grow with the shingles, not with the pairs.  Shingles of
+    one class only count as places."""
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held = np.frombuffer(m, dtype=np.int64)
+                for k in range(0, len(held), SHINGLES):
+                    part = held[k:k + SHINGLES]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), c)), pa.array(part), pa.array(np.full(len(part), len(held)))],
+                                                     names=["cls", "shingle", "n"])
+
+    rows = members.select("cls", "members").mapInArrow(shingles, "cls long, shingle long, n long")
+    uses = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses")).where("uses > 1")
+    own = Window.partitionBy("cls")
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("uses", "shingle")) - 1
+    left = rows.join(uses, "shingle").select("cls", "shingle", "n", (F.col("n") - place).alias("left"))
+    # The largest partner that what is left allows; the smaller set of a pair has one of its own size.
+    left = left.withColumn("partner", F.floor(F.col("left") * (100 + percent) / percent + 1e-6).cast("long") - F.col("n"))
+    left = left.where(100 * F.col("left") >= percent * F.col("n")).withColumn("smaller", F.col("partner") >= F.col("n"))
+    left = stored(left.join(crowd, "cls").select("cls", "root", "shingle", "n", "partner", "smaller"), "prefixes")
+    lists = (left.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.when(F.col("smaller"), F.col("n"))).alias("least"),
+                                         F.max(F.when(F.col("smaller"), F.col("partner"))).alias("most"))
+             .where("lo <> hi and least is not null").select("shingle", "least", "most"))
+    fit = F.col("smaller") | ((F.col("partner") >= F.col("least")) & (F.col("n") <= F.col("most")))
+    nodes = stored(left.join(lists, "shingle").where(fit).select(F.col("shingle").alias("node"), "cls", "root"), "lists")
+    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return _once(nodes).join(sizes.where("lo <> hi").select("node", "size"), "node").select(F.xxhash64("node").alias("node"), "cls", "size", "root")
+
+
 def _across(rooted: DataFrame) -> DataFrame:
     """Nodes for the second round.  A large node meets block by block: the
     classes outside its commonest component (the few) against all of it."""
     small = rooted.where(F.col("size") <= LIMIT).select("node", "cls", "root")
     large = rooted.where(F.col("size") > LIMIT)
-    counts = large.groupBy("node", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = counts.groupBy("node").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-    large = (large.join(main, "node")
+    large = (large.join(_commonest(large), "node")
              .withColumn("few", F.ceil((F.col("all") - F.col("most")) / LIMIT).cast("int"))
              .withColumn("blocks", F.ceil(F.col("all") / LIMIT).cast("int")))
     block, part = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("cls"), F.col("few")).cast("int")

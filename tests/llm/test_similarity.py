@@ -88,6 +88,42 @@ def test_large_nodes_branch_and_meet_in_blocks(make_docs, near_docs, monkeypatch
             assert r["component_id"] == want[r["doc_id"], r["n_shingles"]]
 
 
+def template_docs(n, alike, seed=4):
+    """Texts of one template, each two ``alike`` (Jaccard) without being linked, and a near copy of every tenth."""
+    rng = random.Random(seed)
+    frame = [f"f{k}" for k in range(120)]
+    rows = []
+    for k in range(n):
+        own = round(120 * (1 - alike) / (2 * alike)) + rng.randrange(0, 3)
+        text = frame + [f"u{k}x{j}" for j in range(own)]
+        rows.append((len(rows), " ".join(text)))
+        if k % 10 == 0:
+            text[rng.randrange(20, 100)] = "other"
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("alike", [0.5, 0.65, 0.74])
+def test_template_texts_do_not_all_meet(make_docs, monkeypatch, alike):
+    monkeypatch.setattr(neardup, "LIMIT", 16)
+    met = []
+    compare = neardup._compare
+
+    def counted(rows, reps, roots):
+        if roots:
+            met.append(rows.count())
+        return compare(rows, reps, roots)
+
+    monkeypatch.setattr(neardup, "_compare", counted)
+    for n in (100, 200):
+        rows = template_docs(n, alike)
+        want = brute_components(rows)
+        got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in neardup.link(make_docs(rows)).collect()}
+        assert got == want
+        assert len(set(want.values())) >= n * 0.9
+    assert met[1] <= 2.5 * met[0] + 100, met
+
+
 def test_no_documents(make_docs):
     assert neardup.link(make_docs([])).count() == 0
     assert neardup.deduplicate(make_docs([])).count() == 0
