@@ -9,7 +9,10 @@ the window, on diagonals no further apart than the budget.  So: positions whose
 q-gram occurs in the benchmark are marked; stretches with too few marks are
 dropped; in the rest, shared q-grams are counted for each item in overlapping
 bands of diagonals; where the grams of a band reach the bound within some window,
-all such windows are verified by banded alignment.  All of this is lossless.
+all such windows are verified by banded alignment.  Neighbouring windows of a band
+are first aligned by the characters they all have: above the budget there, none of
+them is within it; else each half of them is tried.  So items that open with one
+phrase cost one alignment a place, not one a window.  All of this is lossless.
 
 The benchmark, without repeated rows, is sent to the tasks in blocks of about
 BLOCK_CHARS characters (a hash of the row decides), one pass over the documents
@@ -45,6 +48,8 @@ EDIT_RATE = 0.075
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
 ALIGNED = 10_000   # windows aligned at a time
+RUN = 32   # neighbouring windows that are first tried as one
+ENTRIES = 1 << 20   # shared q-grams counted at a time, or those of the shortest stretch of text that holds a passage
 SLAB = 1 << 18   # characters of texts searched at a time
 _B1 = np.uint64(0x9E3779B97F4A7C15)
 _B2, _B4 = (np.uint64(pow(int(_B1), k, 1 << 64)) for k in (2, 4))
@@ -99,17 +104,21 @@ def aligned(patterns: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.nda
     good places the one that starts last, then ends first.  Cells hold edits and
     start in one number; rows of the alignment go over the pattern."""
     m, width = patterns.shape[1], texts.shape[1] - patterns.shape[1] + 1
-    edit = width + 1
-    ramp = np.arange(width) * edit
-    key = np.tile(-np.arange(width), (len(patterns), 1))
+    most = (m + 2 * width + 2) * (width + 1)
+    edit = np.int16(width + 1) if most < 1 << 15 else np.int32(width + 1) if most < 1 << 31 else np.int64(width + 1)
+    ramp = (np.arange(width) * edit).astype(edit.dtype)[:, None]
+    p, t = np.ascontiguousarray(patterns.T), np.ascontiguousarray(texts.T)
+    key = np.tile(-np.arange(width, dtype=edit.dtype)[:, None], (1, len(patterns)))
     for i in range(m):
-        new = key + (texts[:, i:i + width] != patterns[:, i, None]) * edit
-        np.minimum(new[:, :-1], key[:, 1:] + edit, out=new[:, :-1])
-        key = np.minimum.accumulate(new - ramp, axis=1) + ramp   # insertions run along the row
-    end = key.argmin(axis=1)
-    best = key[np.arange(len(key)), end]
-    cost = -(-best // edit)
-    return cost, cost * edit - best, end + m
+        new = key + (t[i:i + width] != p[i]) * edit
+        np.minimum(new[:-1], key[1:] + edit, out=new[:-1])
+        new -= ramp   # insertions run along the diagonals
+        key = np.minimum.accumulate(new, axis=0, out=new)
+        key += ramp
+    end = key.argmin(axis=0)
+    best = key[end, np.arange(key.shape[1])].astype(np.int64)
+    cost = -(-best // int(edit))
+    return cost, cost * int(edit) - best, end + m
 
 
 def distance(pattern: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, int] | None:
@@ -140,7 +149,7 @@ class Index:
         self.window = np.minimum(self.length, SEGMENT)
         self.budget = (self.window * EDIT_RATE).astype(np.int64)
         self.bound = np.maximum(1, self.window + 1 - Q * (self.budget + 1))
-        self.text = np.concatenate([*texts, np.empty(0, dtype=np.uint64)])
+        self.text = np.concatenate([*texts, np.empty(0, dtype=np.uint64)]).astype(np.uint32)
         self.begin = np.cumsum([0, *self.length])
         grams = [qgrams(t) for t in texts]
         flat = np.concatenate([*grams, np.empty(0, dtype=np.uint64)])
@@ -171,23 +180,43 @@ class Index:
             hits[doc].append((item, int(where[at - begins[doc]]), int(where[end - 1 - begins[doc]]) + 1, 0, 0))
         if not len(self.hash):
             return [merged(h) for h in hits]
-        windows = self.candidates(c, begins)
-        for length in np.unique(self.window[windows[0]]):
-            of_length = np.flatnonzero(self.window[windows[0]] == length)
-            for part in np.array_split(of_length, len(of_length) // ALIGNED + 1):
-                item, start, diagonal, doc = (x[part] for x in windows)
-                k = int(self.budget[item[0]])
-                pattern = self.text[(self.begin[item] + start)[:, None] + np.arange(length)]
-                body = np.take(c, (begins[doc] + diagonal + start)[:, None] + np.arange(length + 2 * k + 1), mode="clip")
-                edits, x, y = aligned(pattern, body)
-                x, y = diagonal + start + x, diagonal + start + y
-                for m in np.flatnonzero(edits <= k):
+        small = c.astype(np.uint32)
+        for runs in self.candidates(c, begins):
+            for item, start, doc, edits, x, y in self.verified(small, begins, runs):
+                for m in range(len(item)):
                     where = norms[doc[m]][1]
                     a, z = max(0, int(x[m])), min(len(where), int(y[m]))
                     if z > a:
                         hits[doc[m]].append((self.item[item[m]], int(where[a]), int(where[z - 1]) + 1, int(edits[m]), int(start[m])))
         return [merged(h) for h in hits]
 
+    def verified(self, c: np.ndarray, begins: np.ndarray, runs: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(item, start, text, edits, first and last place) of the windows of the runs
+        that are within their budget."""
+        while len(runs[0]):
+            item, low, high, diagonal, doc = runs
+            size = self.window[item] - (high - low)   # what all windows of a run have
+            ok = np.zeros(len(item), dtype=bool)
+            for n in np.unique(size):
+                of_size = np.flatnonzero(size == n)
+                for part in np.array_split(of_size, len(of_size) // ALIGNED + 1):
+                    k = self.budget[item[part]]
+                    for budget in np.unique(k):
+                        p = part[k == budget]
+                        pattern = self.text[(self.begin[item[p]] + high[p])[:, None] + np.arange(n)]
+                        body = np.take(c, (begins[doc[p]] + diagonal[p] + high[p])[:, None] + np.arange(n + 2 * budget + 1), mode="clip")
+                        edits, x, y = aligned(pattern, body)
+                        ok[p] = edits <= budget
+                        done = np.flatnonzero((edits <= budget) & (low[p] == high[p]))
+                        if len(done):
+                            w = p[done]
+                            at = diagonal[w] + low[w]
+                            yield item[w], low[w], doc[w], edits[done], at + x[done], at + y[done]
+            rest = np.flatnonzero(ok & (low < high))
+            item, low, high, diagonal, doc = (x[rest] for x in runs)
+            middle = (low + high) // 2
+            runs = tuple(np.concatenate(x) for x in ((item, item), (low, middle + 1), (middle, high), (diagonal, diagonal), (doc, doc)))
+
     def unchanged(self, c: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end) of the short items' places in ``c``."""
         if not self.short:
@@ -202,11 +231,11 @@ class Index:
                     if (c[at[k]:at[k] + n] == text).all():
                         yield item, int(at[k]), int(at[k]) + n
 
-    def candidates(self, c: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(item, window's start in it, first diagonal of a band, text) wherever a
-        window shares its bound of q-grams with a band.  ``c`` holds all texts, each
-        from its place in ``begins``."""
-        none = (np.empty(0, dtype=np.int64),) * 4
+    def candidates(self, c: np.ndarray, begins: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(item, first and last start of a run of windows, first diagonal of a band,
+        text) wherever windows share their bound of q-grams with a band, some
+        ENTRIES shared q-grams at a time.  ``c`` holds all texts, each from its
+        place in ``begins``."""
         h = qgrams(c)
         hit = self.table[_slot(h)]
         hit[:begins[0]] = False
@@ -216,16 +245,30 @@ class Index:
         n = len(h)
         dense = marks[np.minimum(np.arange(n) + width, n)] - marks[:-1] >= least
         if not dense.any():
-            return none
+            return
         reach = np.zeros(n + 1, dtype=np.int64)
         at = np.flatnonzero(dense)
         np.add.at(reach, at, 1)
         np.add.at(reach, np.minimum(at + width, n), -1)
         at = np.flatnonzero(hit & (np.cumsum(reach[:-1]) > 0))
         first, last = np.searchsorted(self.hash, h[at]), np.searchsorted(self.hash, h[at], side="right")
+        upto = np.concatenate(([0], np.cumsum(last - first)))
+        # Stretches of the texts, each with the whole of any passage that starts before the next one.
+        k = 0
+        while k < len(at):
+            most = int(np.searchsorted(upto, upto[k] + ENTRIES, side="right")) - 1
+            whole = int(np.searchsorted(at, at[k] + 2 * width))   # half of the shortest stretch is new
+            end = min(len(at), max(most, whole))
+            yield self.runs(at[k:end], first[k:end], last[k:end], begins)
+            k = end if end == len(at) else int(np.searchsorted(at, at[end] - width, side="right"))
+
+    def runs(self, at: np.ndarray, first: np.ndarray, last: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Candidates from the q-grams at the places ``at``, whose entries in the
+        index are those from ``first`` to before ``last``."""
+        none = (np.empty(0, dtype=np.int64),) * 5
         count = last - first
         upto = np.cumsum(count)
-        if not len(upto) or not upto[-1]:
+        if not upto[-1]:
             return none
         entry = np.arange(upto[-1]) + np.repeat(first - upto + count, count)
         doc = np.searchsorted(begins, at, side="right") - 1   # bands are of one text: the same in any batch
@@ -253,11 +296,18 @@ class Index:
         high = np.minimum(place[i], (self.length - self.window)[item[i]])
         ok = low <= high
         i, low, high = i[ok], low[ok], high[ok]
-        low[1:] = np.where(group[i[1:]] == group[i[:-1]], np.maximum(low[1:], high[:-1] + 1), low[1:])   # each once
-        count = np.maximum(high - low + 1, 0)
-        start = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
-        i = np.repeat(i, count)
-        return item[i], start, keys[group[i]] % wide * (self.budget[item[i]] + 1) - shift, keys[group[i]] // wide % many
+        if not len(i):
+            return none
+        new = np.ones(len(i), dtype=bool)   # places rise within a band, so do low and high: what touches is one run
+        new[1:] = (group[i[1:]] != group[i[:-1]]) | (low[1:] > high[:-1] + 1)
+        begin = np.flatnonzero(new)
+        i, low, high = i[begin], low[begin], high[np.append(begin[1:], len(i)) - 1]
+        count = (high - low) // RUN + 1
+        part = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        i, low, high = (np.repeat(x, count) for x in (i, low, high))
+        low = low + part * RUN
+        high = np.minimum(high, low + RUN - 1)
+        return item[i], low, high, keys[group[i]] % wide * (self.budget[item[i]] + 1) - shift, keys[group[i]] // wide % many
 
 
 def merged(hits: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int]]:

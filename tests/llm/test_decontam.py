@@ -99,3 +99,33 @@ def test_repeats_of_a_row_do_not_fill_a_block(spark, make_docs, monkeypatch):
     benchmark = spark.createDataFrame([(1, item)] * 60 + [(2, item)], "item_id long, text string")
     assert [sorted(i.item) for i in decontam.indexes(benchmark)] == [[1, 2]]
     assert sorted(r["item_id"] for r in decontam.find(make_docs([(5, item)]), benchmark).collect()) == [1, 2]
+
+
+def test_items_with_one_opening_phrase(monkeypatch):
+    rng = random.Random(26)
+    phrase = prose(rng, 30)[:55].strip() + "q"
+    items = [(k, f"{phrase} {prose(rng, 25)}") for k in range(15)]
+    texts = [" ".join(f"{phrase} {prose(rng, 9)}" for _ in range(5)), f"{phrase} {items[3][1][57:90]} {prose(rng, 9)} {items[7][1]}",
+             f"{phrase} {items[5][1][57:95].replace('a', 'zz')}"]
+    want = [{k for k, item in items if brute(item, t) is not None} for t in texts]
+    assert {3, 7} <= want[1]
+    aligned, rows = decontam.aligned, []
+    monkeypatch.setattr(decontam, "aligned", lambda p, t: (rows.append(len(p)), aligned(p, t))[1])
+    whole = decontam.Index(items).search(texts)
+    assert [{h[0] for h in hits} for hits in whole] == want
+    places = 5 + 2 + 1
+    assert sum(rows) <= 4 * len(items) * places   # not each of some 25 windows
+    for entries in (1, 300, 5000):   # stretches of any size give the same passages
+        monkeypatch.setattr(decontam, "ENTRIES", entries)
+        assert decontam.Index(items).search(texts) == whole
+
+
+def test_stretches_of_marks_far_apart(monkeypatch):
+    rng = random.Random(27)
+    item = prose(rng, 300)
+    index = decontam.Index([(1, item), (2, "ab" * 2000)])
+    texts = [f"{item[:120]} {prose(rng, 100)} {item[400:700]}", "ab" * 300, f"{'ba' * 60} {item}", prose(rng, 50)]
+    whole = index.search(texts)
+    assert [{h[0] for h in hits} for hits in whole] == [{1}, {2}, {1, 2}, set()]
+    monkeypatch.setattr(decontam, "ENTRIES", 1)
+    assert index.search(texts) == whole
