@@ -1,12 +1,13 @@
 """The ledger split in time, running numbers, versioned tables, rejects, pruned folders."""
 
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from stockflow.operators import ledger
-from stockflow.plans import kpis
+from stockflow.plans import catalog, kpis
 from stockflow.plans.warehouse import YEAR, star_schema
 from stockflow.sources import files
 from tests.conftest import SF0001
@@ -123,3 +124,41 @@ def test_calendar_filters_prune_folders(spark):
     assert "dynamicpruningexpression(true)" not in scan
     want = ws.table("fact_orders").join(days.select("date_id"), "date_id", "left_semi").select(*some.columns)
     assert some.columns == ws.table("fact_orders").columns and some.exceptAll(want).isEmpty() and want.exceptAll(some).isEmpty()
+
+
+def test_stretches_are_few_and_hold_every_day(spark):
+    """Rows kept follow the sales, not the days; a falling or unknown restock is settled day by day."""
+    assortment = spark.createDataFrame([("A", "W", 5, 3), ("B", "W", 9, -4), ("C", "W", 7, 0), ("C", "W", 2, 2), ("D", None, 1, 1)],
+                                       "product_id string, warehouse_id string, initial_stock long, restock_qty long")
+    sales = [("A", "W", "2020-01-01", 50), ("A", "W", "2020-03-01", 2), ("A", "W", "2021-01-01", 9), ("C", "W", "2020-01-15", 20),
+             ("D", None, "2020-02-02", 3), ("E", "W", "2020-02-02", 3)]
+    orders = spark.createDataFrame(sales, "product_id string, warehouse_id string, order_date string, quantity long")
+    first, last = date(2019, 12, 30), date(2021, 2, 3)
+    stretches = ledger.stock_stretches(assortment, orders, str(first), str(last), partitions=3)
+    assert stretches.where("product_id <> 'B'").count() == 3 * 3 + 3   # a year each, and the sales on other days than New Year's
+    got = {(r["product_id"], r["date"]): (r["stock_level"], r["restock_qty"], r["warehouse_id"])
+           for r in ledger.stock_ledger(assortment, orders, str(first), str(last), partitions=3).collect()}
+    want = {}
+    for product, house, stock, restock in (("A", "W", 5, 3), ("B", "W", 9, -4), ("C", "W", 7, 2), ("D", None, 1, 1)):
+        for i in range((last - first).days + 1):
+            day = first + timedelta(days=i)
+            more = restock if i % 14 == 0 else 0
+            stock = max(0, stock + more - sum(q for p, w, d, q in sales if (p, w, d) == (product, house, str(day))))
+            want[product, day] = (stock, more, house)
+    assert got == want
+
+
+def test_the_stored_ledger_has_no_row_a_day(spark):
+    ws = star_schema(spark, SF0001)
+    days, kept = ws.table("fact_inventory").count(), ws.stretches().count()
+    assert days == ws.assortment().count() * ws.horizon_days and kept * 50 < days
+
+
+def test_csv_slices_hold_all_days_and_are_deleted(spark, monkeypatch):
+    ws = star_schema(spark, SF0001)
+    monkeypatch.setattr(catalog, "CSV_ROWS", ws.assortment().count() * ws.horizon_days // 3)
+    gone = []
+    monkeypatch.setattr(files, "delete", lambda s, path, real=files.delete: (real(s, path), gone.append(path)))
+    rows = catalog.q_csv_inventory(spark, SF0001).agg(F.sum("n_days"), F.count("product_id")).first()
+    assert tuple(rows) == (ws.assortment().count() * ws.horizon_days, ws.assortment().count())
+    assert len(gone) >= 3 and not any(files._file_system(spark, p)[2].exists(files._file_system(spark, p)[1]) for p in gone)
