@@ -3,7 +3,9 @@
 import contextlib
 import io
 
-from stockflow.operators.joins import bounded_broadcast, row_width
+import pytest
+
+from stockflow.operators.joins import bounded_broadcast, broadcast_or_hash, hashed, row_width
 
 
 def _plan(df):
@@ -25,3 +27,23 @@ def test_broadcast_only_under_bounds(spark):
         assert big.join(bounded_broadcast(small, max_rows=10), "k").count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("most", [1, 3, 500_000])
+def test_hashed_side_meets_unsorted_rows_in_enough_partitions(spark, most):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([(k % 7 if k % 5 else None, k) for k in range(200)], "k long, v long")
+        side = spark.createDataFrame([(k, f"n{k}") for k in (0, 1, 1, 2, 3, 4, 5, None, 9)], "s long, name string")   # 9 rows
+        joined = rows.join(hashed(side, "s", most=most), rows.k == side.s)
+        plan = _plan(joined)
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan
+        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(shuffles, -(-9 // most))
+        assert plan.count(f", {wanted})") == 2   # both sides are dealt alike
+        plain = rows.join(side, rows.k == side.s)
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+        assert "BroadcastHashJoin" in _plan(rows.join(broadcast_or_hash(side, "s", max_rows=9), rows.k == side.s))
+        assert "ShuffledHashJoin" in _plan(rows.join(broadcast_or_hash(side, "s", max_rows=8), rows.k == side.s))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

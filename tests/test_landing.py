@@ -3,7 +3,11 @@
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
+from functools import partial
 
+import pytest
+
+from stockflow.operators import joins
 from stockflow.sources import testdata
 
 LINES = [(1, 10, 1, 3.0, "N"), (1, 11, 2, 2.5, "A"), (2, 10, 3, 7.0, "R"), (2, 10, 3, 7.0, "R"), (3, 12, 4, 1.0, None),
@@ -48,3 +52,29 @@ def test_orders_are_landed_by_one_deal_of_the_lines(spark, tmp_path):
     assert "ShuffledHashJoin" in plan   # the lines' deal, and none of them sorted
     bottom = plan[:plan.index("ShuffledHashJoin")]
     assert "Exchange hashpartitioning(l_" not in bottom and "SortMergeJoin" not in bottom
+
+
+@pytest.mark.parametrize("most", [None, 0])
+def test_no_task_sorts_lines_to_meet_many_parts(spark, tmp_path, monkeypatch, most):
+    """As with larger tables: the planner broadcasts nothing by itself, and with 0 no side is small."""
+    if most is not None:
+        monkeypatch.setattr(testdata, "broadcast_or_hash", partial(joins.broadcast_or_hash, max_rows=most))
+    folder = _stored(spark, tmp_path)
+    spark.createDataFrame([(10, "B1"), (11, "B2"), (12, None), (None, "B3")], "p_partkey long, p_brand string").write.parquet(f"{folder}/b/part.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = testdata.raw_orders(spark, folder)
+        brands = testdata.brand_orders(spark, f"{folder}/b", orders)
+        for df, keys in ((orders, ("l_orderkey", "l_partkey", "o_custkey")), (brands, ("l_orderkey", "l_partkey", "product_id"))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert not [k for k in keys if f"Sort [{k}" in plan]
+        assert Counter(tuple(r) for r in orders.collect()) == _brute()
+        of = {10: "B1", 11: "B2", 12: None}
+        want = Counter()
+        for r, n in _brute().items():
+            if r[2] in of:
+                want[r[:2] + (of[r[2]],) + r[3:]] += n
+        at = [brands.columns.index(c) for c in orders.columns]
+        assert Counter(tuple(r[i] for i in at) for r in brands.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
