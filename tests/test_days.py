@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockflow.operators import days, facts, ledger
 from stockflow.plans import catalog
-from stockflow.plans.warehouse import star_schema
+from stockflow.plans.warehouse import StarSchema, star_schema
 from tests.conftest import SF0001
 
 FIRST, LAST = "2019-11-20", "2021-02-10"
@@ -89,3 +89,19 @@ def test_tasks_are_sized_by_events_too(spark):
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert ledger.pair_partitions(pairs, 100) == floor
     assert ledger.pair_partitions(pairs, 100, 50 * ledger.EVENTS_PER_PARTITION) == 51
+
+
+def test_pairs_without_snapshots_have_no_number(spark, monkeypatch):
+    class Few:
+        name = "few pairs"
+
+        def orders(self):
+            return spark.createDataFrame([(p, 1, d, 1) for p in (1, 2, 3) for d in ("2020-01-01", "2020-02-10")], "product_id long, warehouse_id long, order_date string, quantity long")
+
+        def assortment(self, orders):
+            return spark.createDataFrame([(1, 1, 5, 1), (2, 1, None, 1), (3, 1, None, 2), (3, 1, 4, 3)], "product_id long, warehouse_id long, initial_stock long, restock_qty long")
+
+    ws = StarSchema(spark, Few())
+    monkeypatch.setattr(catalog, "_ws", lambda *_: ws)
+    rows = sorted(tuple(r)[:6] for r in catalog.q_inventory_numbers(spark, "").collect())
+    assert rows == [(1, 1, 202001, 31, 1, 31), (1, 1, 202002, 10, 32, 41), (3, 1, 202001, 31, 42, 72), (3, 1, 202002, 10, 73, 82)]
